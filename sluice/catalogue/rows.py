@@ -13,6 +13,7 @@ from sluice.functions.labels import fill_number_or_datetime, fill_placeholder, v
 from sluice.functions.shapes import format_datetime
 from sluice.functions.values import brace_list, build_value_map, map_value, recode, strip_score_label
 from sluice.operators import dedup, ids, lookups
+from sluice.session import bounded_rows
 
 _EMPTY = "(uid IS NULL OR lower(trim(uid)) IN ('', 'na', 'null', 'nan', 'none', 'n/a', '<na>'))"
 _REPAIRABLE = "coalesce(regexp_matches(trim(uid), '^[A-Za-z0-9]{3,6}[,/][A-Za-z0-9]+$'), false)"
@@ -72,7 +73,7 @@ def _status_rows(orders):
     labels = {"F": "finished", "O": "open order", "P": "part done"}
     rows = [{"raw_code": r["o_orderstatus"], "option_label": labels.get(r["o_orderstatus"]),
              "canonical_code": r["o_orderstatus"]}
-            for r in orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").limit(1000).collect()]
+            for r in bounded_rows(orders.select("o_orderstatus").distinct().orderBy("o_orderstatus"), what="statuses")]
     return rows + [{"raw_code": "b", "option_label": "both", "canonical_code": "{F,O}"},
                    {"raw_code": "w", "option_label": "waits", "canonical_code": ""},
                    {"raw_code": "p", "option_label": "P", "canonical_code": "P"}]

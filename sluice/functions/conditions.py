@@ -61,7 +61,7 @@ def to_sql(condition: str, columns: Mapping[str, str]) -> str | None:
             left = f"(CASE WHEN {low} IN ({words[0]}) THEN true WHEN {low} IN ({words[1]}) THEN false END)"
             right = m["bool"].lower()
         elif m["num"]:
-            left, right = f"try_cast({left} AS DOUBLE)", f"CAST({m['num']} AS DOUBLE)"
+            left, right = f"try_cast(trim({left}) AS DOUBLE)", f"CAST({m['num']} AS DOUBLE)"
         else:
             right = "'" + (m["sq"] if m["sq"] is not None else m["dq"]).replace("\\", "\\\\").replace("'", "\\'") + "'"
         found.append(f"({'NOT ' if m['neg'] else ''}({left} {op} {right}))")
