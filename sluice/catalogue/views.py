@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.session import spread
+
 _MONTH = """CASE m WHEN 1 THEN 'January' WHEN 2 THEN 'February' WHEN 3 THEN 'March' WHEN 4 THEN 'April'
     WHEN 5 THEN 'May' WHEN 6 THEN 'June' WHEN 7 THEN 'July' WHEN 8 THEN 'August' WHEN 9 THEN 'September'
     WHEN 10 THEN 'October' WHEN 11 THEN 'November' ELSE 'December' END"""
@@ -231,9 +233,11 @@ def with_views(sql: str, uses: tuple[str, ...]) -> str:
     return f"WITH {ctes}, {text[5:]}" if text[:5].upper() == "WITH " else f"WITH {ctes} {text}"
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(VIEWS[name].format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    sql = VIEWS[name]
+    used = [t for t in TABLES if "{" + t + "}" in sql]
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})

@@ -62,22 +62,23 @@ STAFF_KEYS = (r"^(hcwsig|hcwsigdis|signature|eqhcwsig|dataentryname|dataentrynam
 STAFF_VALUES_NOTE = "Not listed (staff identifier)"
 
 
+def any_pattern(patterns: Iterable[str]) -> str:
+    """One pattern for "any of these", so a clean cell is scanned once."""
+    return "|".join(f"(?:{p})" for p in patterns)
+
+
 def value_pattern(col: Column, patterns: Mapping[str, str] = VALUE_PATTERNS) -> Column:
     """Name of the first pattern the trimmed cell matches, else null."""
     t = trim(col)
     hit = F.lit(None).cast("string")
     for name, pattern in reversed(list(patterns.items())):
         hit = F.when(t.rlike(pattern), F.lit(name)).otherwise(hit)
-    return hit
+    return F.when(t.rlike(any_pattern(patterns.values())), hit) if len(patterns) > 1 else hit
 
 
 def redact(col: Column, patterns: Mapping[str, str] = VALUE_PATTERNS) -> Column:
     """Cell, or null when any pattern matches."""
-    t = trim(col)
-    hit = F.lit(False)
-    for pattern in patterns.values():
-        hit = hit | t.rlike(pattern)
-    return F.when(~hit, col)
+    return F.when(~trim(col).rlike(any_pattern(patterns.values())), col)
 
 
 def is_staff_key_col(col: Column) -> Column:

@@ -29,6 +29,7 @@ from sluice.session import cut_lineage
 DEATH_CODES = ("NND", "NND<24", "NND>24", "BID", "STB")
 ROLES = ("admissions", "discharges", "births")
 DAY = 24 * HOUR
+MINUTE = HOUR // 60
 
 IDENTITY = ("sex", "bw", "ga", "oc", "ord")
 OTHER = ("apgar5", "mode", "birthf", "matage", "outcome")
@@ -140,9 +141,9 @@ def _segments(rows: DataFrame, chunk_rows: int) -> DataFrame:
     hours = hours.withColumn("seg", F.when(F.col("mixed"), F.lit(0))
                              .otherwise(F.sum(F.col("gap").cast("bigint")).over(by_hour)))
     s = Window.partitionBy(*KEY, "seg")
-    return hours.select(*KEY, "hour", "seg", F.sum("n").over(s).alias("seg_n"),
-                        F.floor((F.sum("n").over(s.orderBy("hour")) - F.col("n")) / chunk_rows)
-                        .alias("_chunk"))
+    return (hours.select(*KEY, "hour", "seg", F.sum("n").over(s).alias("seg_n"),
+                         F.floor((F.sum("n").over(s.orderBy("hour")) - F.col("n")) / chunk_rows).alias("_part"))
+            .withColumn("_chunk", F.dense_rank().over(s.orderBy("_part"))).drop("_part"))
 
 
 def collapse_records(frame: DataFrame, clock: str = "admission",
@@ -198,7 +199,7 @@ def assign_entities(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> D
                .withColumn("letter_k", F.lit(None).cast("bigint"))
                .withColumn("stay", F.lit(None).cast("bigint")))
     placed = folds.ordered_fold(
-        several, ["uid"], F.col("t_event") / DAY, _event_order(), EntityFold,
+        several, ["uid"], F.col("t_event") / MINUTE, _event_order(), EntityFold,
         "rec bigint, letter_k bigint, stay bigint, basis string, joined boolean", chunk_rows)
     out = a.join(placed.drop("joined"), "rec", "left").na.fill({"letter_k": 1, "stay": 1})
     return (out.withColumn("basis", F.coalesce("basis", F.lit("only record under this UID")))
@@ -208,7 +209,7 @@ def assign_entities(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> D
 def assign_births(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> DataFrame:
     """Every birth record is an entity of its own, lettered in date order."""
     r = _with_counts(records.withColumn("t_event", F.coalesce("t_adm", "t_start")))
-    placed = folds.ordered_fold(r.filter("u_n > 1"), ["uid"], F.col("t_event") / DAY, _event_order(),
+    placed = folds.ordered_fold(r.filter("u_n > 1"), ["uid"], F.col("t_event") / MINUTE, _event_order(),
                                 BirthFold, "rec bigint, letter_k bigint, basis string", chunk_rows)
     out = r.join(placed, "rec", "left").na.fill({"letter_k": 1})
     return (out.withColumn("basis", F.coalesce("basis", F.lit("only record under this UID")))
@@ -333,7 +334,7 @@ def match_admissions(dis: DataFrame, adm: DataFrame, pair_limit: int = PAIR_LIMI
     block = [*KEY, "_ab", "_db"]
     schema = "rec bigint, " + ", ".join(
         f"{t}_0 bigint, {t}_1 bigint, {t}_best {_BEST}" for t in _TIERS)
-    partial = (left.unionByName(right).repartition(*block).sortWithinPartitions(*block, "_dis")
+    partial = (left.unionByName(right).repartition(folds.fold_tasks(adm), *block).sortWithinPartitions(*block, "_dis")
                .mapInPandas(_block_matches, schema))
     merged = partial.groupBy("rec").agg(*[
         agg for t in _TIERS for agg in (F.sum(f"{t}_0").alias(f"{t}_0"), F.sum(f"{t}_1").alias(f"{t}_1"),
@@ -372,7 +373,8 @@ def link_discharges(dis: DataFrame, adm: DataFrame, chunk_rows: int = folds.CHUN
                          F.struct(F.col("place.t").alias("t"), F.col("place.m").cast("bigint").alias("m"),
                                   F.col("place.r").alias("r")).alias("place"))
     both = seeds.unionByName(queue).withColumn("readm", F.lit(False))
-    bucket = F.when(F.col("seed"), F.lit(-2**40)).otherwise(F.coalesce(F.col("t_event") / DAY, F.lit(2**40)))
+    bucket = (F.when(F.col("seed"), F.col("letter_k") - 2**40)
+              .otherwise(F.coalesce(F.col("t_event") / MINUTE, F.lit(2**40))))
     order = [(~F.col("seed")).cast("int"), F.col("t_event"), F.when(~F.col("seed"), F.col("facility")),
              F.col("place")]
     placed = folds.ordered_fold(both, ["uid"], bucket, order, EntityFold,

@@ -10,6 +10,7 @@ right after one round, so the outcome equals one sequential pass.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Callable, Iterator, Sequence
 
@@ -97,14 +98,34 @@ class EntityFold:
     out = ("rec", "letter_k", "stay", "basis", "joined")
 
     def __init__(self, state: dict | None = None):
-        state = state or {"entities": {}}
-        self.entities: dict[int, list] = {int(k): v for k, v in state["entities"].items()}
-        self.kinds: dict[str, set[int]] = {}
-        for k, e in self.entities.items():
-            self.kinds.setdefault(json.dumps(e[1:]), set()).add(k)
+        self.stays: dict[int, int] = {}
+        self.kind_of: dict[int, tuple] = {}
+        self.kinds: dict[tuple, list[int]] = {}     # kind -> heap of entity numbers
+        self.live: dict[tuple, int] = {}             # kind -> entities of that kind
+        self.top = 0
+        for k, stay, *kind in (state or {"entities": []})["entities"]:
+            self._put(k, stay, tuple(tuple(x) if isinstance(x, list) else x for x in kind))
 
     def state(self) -> dict:
-        return {"entities": {str(k): v for k, v in sorted(self.entities.items())}}
+        return {"entities": [[k, self.stays[k], *self.kind_of[k]] for k in sorted(self.stays)]}
+
+    def _put(self, k: int, stay: int, kind: tuple) -> None:
+        self.stays[k], self.kind_of[k], self.top = stay, kind, max(self.top, k)
+        self.live[kind] = self.live.get(kind, 0) + 1
+        heapq.heappush(self.kinds.setdefault(kind, []), k)
+
+    def _drop(self, k: int) -> None:
+        """Entity ``k`` leaves its kind; its heap entry goes when it surfaces."""
+        kind = self.kind_of.pop(k)
+        self.live[kind] -= 1
+        if not self.live[kind]:
+            del self.live[kind], self.kinds[kind]
+
+    def _first(self, kind: tuple) -> int:
+        heap = self.kinds[kind]
+        while self.kind_of.get(heap[0]) != kind:
+            heapq.heappop(heap)
+        return heap[0]
 
     @staticmethod
     def _identity_mask(r) -> int:
@@ -141,40 +162,36 @@ class EntityFold:
 
     def _add(self, k: int, r, stay: int) -> None:
         def add(values, x):
-            return values if x is None else sorted({*values, x})
+            return values if x is None or x in values else tuple(sorted((*values, x)))
 
         def widen(span, x):
-            return span if x is None else [x, x] if span is None else [min(span[0], x), max(span[1], x)]
+            return span if x is None else (x, x) if span is None else (min(span[0], x), max(span[1], x))
 
-        e = self.entities.get(k)
-        if e is None:
-            e = [0, [], None, None, [], None, [], [], None, 0, []]
+        kind = self.kind_of.get(k)
+        if kind is None:
+            kind = ((), None, None, (), None, (), (), None, 0, ())
         else:
-            kind = json.dumps(e[1:])
-            self.kinds[kind].discard(k)
-            if not self.kinds[kind]:
-                del self.kinds[kind]
-        e = [max(e[0], stay), add(e[1], r["sex"]), widen(e[2], r["bw"]), widen(e[3], r["ga"]),
-             add(e[4], self._identity_mask(r)), widen(e[5], r["apgar5"]), add(e[6], r["mode"]),
-             add(e[7], r["birthf"]), widen(e[8], r["matage"]), e[9] | self._other_mask(r),
-             add(e[10], r["facility"])]
-        self.entities[k] = e
-        self.kinds.setdefault(json.dumps(e[1:]), set()).add(k)
+            self._drop(k)
+        sexes, bw, ga, masks, apgar, modes, births, age, other, sites = kind
+        self._put(k, max(self.stays.get(k, 0), stay), (
+            add(sexes, r["sex"]), widen(bw, r["bw"]), widen(ga, r["ga"]), add(masks, self._identity_mask(r)),
+            widen(apgar, r["apgar5"]), add(modes, r["mode"]), add(births, r["birthf"]),
+            widen(age, r["matage"]), other | self._other_mask(r), add(sites, r["facility"])))
 
     def step(self, row):
         r = dict(zip(self.columns, row))
         if r["seed"]:
             self._add(int(r["letter_k"]), r, int(r["stay"]))
             return None
-        if not self.entities:
+        if not self.stays:
             k, basis, joined = 1, "first record under this UID", False
         else:
             same: tuple[int, str] | None = None
             unresolved = other_differs = False
-            for kind, ks in self.kinds.items():
-                rel = self._relation(r, json.loads(kind))
+            for kind in self.kinds:
+                rel = self._relation(r, kind)
                 if rel.startswith("same"):
-                    first = min(ks)
+                    first = self._first(kind)
                     if same is None or first < same[0]:
                         same = (first, rel)
                 unresolved |= rel == "unresolved"
@@ -182,11 +199,11 @@ class EntityFold:
             if same is not None:
                 k, basis, joined = same[0], same[1].replace("same: ", "same baby: ", 1), True
             else:
-                k, joined = max(self.entities) + 1, False
+                k, joined = self.top + 1, False
                 basis = ("unresolved: own letter" if unresolved
                          else "different baby: other fields differ" if other_differs
                          else "different baby: identity differs")
-        stay = self.entities[k][0] + 1 if joined else 1
+        stay = self.stays[k] + 1 if joined else 1
         self._add(k, r, stay)
         return r["rec"], k, stay, basis, joined
 
@@ -270,10 +287,17 @@ def fold_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fol
                 schema: str) -> DataFrame:
     """One sequential pass per key; rows of a key arrive in ``order``."""
     return (df.select(*keys, *[n for n in fold.columns if n not in keys], *_order_columns(order))
-            .repartition(*keys).sortWithinPartitions(*keys, *_order_names(order))
+            .repartition(fold_tasks(df), *keys).sortWithinPartitions(*keys, *_order_names(order))
             .mapInPandas(_walk(fold, keys, False), schema))
 
 
+def fold_tasks(df: DataFrame) -> int:
+    """Partitions for Python work: the session's shuffle partitions.  A stated
+    number keeps small rows from being packed into few tasks, which is right for
+    bytes but not for the time a fold takes."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _order_columns(order: Sequence[Column]) -> list[Column]:
     return [x.alias(f"_o{i}") for i, x in enumerate(order)]
 
@@ -284,7 +308,7 @@ def _order_names(order: Sequence[Column]) -> list[Column]:
 
 def fold_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fold: type,
                 schema: str) -> DataFrame:
-    """Like ``fold_groups`` for keys cut into consecutive ``_chunk`` numbers."""
+    """Like ``fold_groups`` for keys cut into ``_chunk`` 1, 2, 3, ... without gaps."""
     group = [*keys, "_chunk"]
     rows = cut_lineage(df.select(*group, *[n for n in fold.columns if n not in keys],
                                  *_order_columns(order))
@@ -295,7 +319,7 @@ def fold_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fol
     states = None
     while True:
         feed = rows if states is None else rows.unionByName(states, allowMissingColumns=True)
-        out = cut_lineage(feed.repartition(*group)
+        out = cut_lineage(feed.repartition(fold_tasks(feed), *group)
                           .sortWithinPartitions(*group, F.col("_state").asc_nulls_last(),
                                                 *_order_names(order))
                           .mapInPandas(_walk(fold, keys, True), out_schema))
@@ -324,7 +348,8 @@ def cut_keys(df: DataFrame, keys: Sequence[str], bucket: Column, chunk_rows: int
     hot = df.join(large, list(keys), "left_semi").withColumn("_bucket", b)
     w = Window.partitionBy(*keys).orderBy("_bucket")
     chunks = (hot.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_chunk", F.floor((F.sum("_n").over(w) - F.col("_n")) / chunk_rows))
+              .withColumn("_part", F.floor((F.sum("_n").over(w) - F.col("_n")) / chunk_rows))
+              .withColumn("_chunk", F.dense_rank().over(Window.partitionBy(*keys).orderBy("_part")))
               .select(*keys, "_bucket", "_chunk"))
     return (df.join(large, list(keys), "left_anti"),
             hot.join(chunks, [*keys, "_bucket"]).drop("_bucket"))

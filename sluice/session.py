@@ -41,6 +41,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small file over all cores before costly cell work.  A scan that
+    already has a split per core is returned as it is, so nothing is shuffled on
+    large inputs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def bounded_rows(df: DataFrame, limit: int = 200_000, what: str = "table") -> list[dict]:
     """Rows of a metadata table on the driver; refuses a table that is not small."""
     rows = df.limit(limit + 1).collect()
