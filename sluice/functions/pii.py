@@ -33,18 +33,26 @@ QUASI_PATTERNS = (
     r"religion\.value$", "address", "matagedate",
 )
 
-# Cell patterns, tested on trimmed text in this order.
+# Cell shapes, tested on trimmed text in this order.  The last three
+# look anywhere in the text; they are written so that most positions of a long
+# text fail on their first character:
+#   email           one character before "@" is enough to know there is an address
+#   zw_national_id  2 digits, 6-7 digits, a letter, 2 digits, blanks or hyphens
+#                   between, not inside a longer run of letters and digits
+#   mw_national_id  a run of exactly 8 letters and digits, at least two of each,
+#                   not part of a longer or hyphenated run; looked up from its
+#                   first digit back to the start of the run
+_RUN_OF_EIGHT = (r"(?<![A-Za-z0-9-])(?=[A-Za-z0-9]{8}(?![A-Za-z0-9-]))"
+                 r"(?=[0-9]*[A-Za-z][0-9]*[A-Za-z])(?=[A-Za-z]*[0-9][A-Za-z]*[0-9])")
 VALUE_PATTERNS: dict[str, str] = {
     "phone_international": r"^\+?(263[0-9]{9}|265[0-9]{7,9})$",
     "phone_local_zw": r"^0[67][0-9]{8}$",
     "phone_local_mwi": r"^0[89][0-9]{8}$",
-    "email": r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}",
+    "email": r"[a-zA-Z0-9._%+\-]@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}",
     "nhs_number": r"^[0-9]{3}[- ][0-9]{3}[- ][0-9]{4}$",
-    "zw_national_id": (r"(?<![A-Za-z0-9])[0-9]{2}[- ]{0,2}[0-9]{6,7}"
+    "zw_national_id": (r"[0-9](?<![A-Za-z0-9][0-9])[0-9][- ]{0,2}[0-9]{6,7}"
                        r"[- ]{0,2}[A-Za-z][- ]{0,2}[0-9]{2}(?![A-Za-z0-9])"),
-    "mw_national_id": (r"(?i)(?<![A-Za-z0-9-])"
-                       r"(?=(?:[A-Za-z0-9]*[A-Za-z]){2})(?=(?:[A-Za-z0-9]*[0-9]){2})"
-                       r"[A-Za-z0-9]{8}(?![A-Za-z0-9-])"),
+    "mw_national_id": rf"[0-9](?<={_RUN_OF_EIGHT}[A-Za-z]{{0,6}}[0-9])",
 }
 
 # Structural columns whose cells are counted, never redacted.

@@ -60,7 +60,7 @@ def parse_number(col: Column) -> Column:
     return numeric_shape(col)["value"]
 
 
-def _bind(col: Column, body) -> Column:
+def bind(col: Column, body) -> Column:
     """Evaluate ``col`` once and hand it to ``body``; keeps plans small where an
     intermediate value is used many times."""
     return F.get(F.transform(F.array(col), body), F.lit(0))
@@ -102,7 +102,7 @@ def datetime_shape(col: Column) -> Column:
              .when(s.rlike(MONTH_FIRST), "month_first").when(s.rlike(DAY_FIRST), "day_first")
              .when(s.rlike(MONTH_DAY) | s.rlike(DAY_MONTH), "month_name").otherwise("other"))
     return F.struct(F.when(blank, F.lit(None)).when(s.rlike(ISO), iso)
-                    .otherwise(_bind(spelled(s), _twelve_hour)).alias("value"),
+                    .otherwise(bind(spelled(s), _twelve_hour)).alias("value"),
                     route.alias("route"),
                     F.coalesce(s.rlike(ISO) & s.rlike(ISO_OFFSET), F.lit(False))
                     .alias("offset_dropped"))

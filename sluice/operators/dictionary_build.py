@@ -286,17 +286,18 @@ def field_consensus(fields: DataFrame, keys: Sequence[str] = ("question_key",))
 
 def options_differ(consensus: DataFrame, maps: DataFrame, keys: Sequence[str] = ("question_key",)) -> DataFrame:
     """Adds ``valuemap_check``: true when form and dictionary codes differ, null
-    when there is nothing to compare."""
+    when there is nothing to compare.  The code sets are compared by a full join
+    of their members."""
     keys = list(keys)
-    form = F.array_sort(F.array_distinct(F.filter(F.transform(
-        F.split("options_str", ";"), lambda o: trim(F.get(F.split(o, r"\|"), F.lit(0)))), lambda x: x != "")))
-    codes = (maps.filter(F.coalesce(trim(F.col("raw_code")), F.lit("")) != "")
-             .select(*keys, trim(F.col("raw_code")).alias("code")).distinct()
-             .groupBy(*keys).agg(F.array_sort(F.collect_list("code")).alias("_codes")))
-    out = consensus.join(codes, keys, "left")
-    check = (F.when(trim(F.col("options_str")) == "", F.lit(None))
-             .otherwise(~form.eqNullSafe(F.col("_codes"))))
-    return out.withColumn("valuemap_check", check).drop("_codes")
+    parts = F.transform(F.split("options_str", ";"), lambda o: trim(F.get(F.split(o, r"\|"), F.lit(0))))
+    form = (consensus.select(*keys, F.explode(F.array_distinct(parts)).alias("code")).filter("code <> ''")
+            .withColumn("_form", F.lit(True)))
+    known = (maps.select(*keys, trim(F.col("raw_code")).alias("code")).filter("code <> ''").distinct()
+             .withColumn("_known", F.lit(True)))
+    off = form.join(known, [*keys, "code"], "full").groupBy(*keys).agg(
+        F.max(F.col("_form").isNull() | F.col("_known").isNull()).alias("_off"))
+    check = F.when(trim(F.col("options_str")) != "", F.coalesce("_off", F.lit(True)))
+    return consensus.join(off, keys, "left").withColumn("valuemap_check", check).drop("_off")
 
 
 def enrich_variables(variables: DataFrame, fields: DataFrame, maps: DataFrame) -> DataFrame:

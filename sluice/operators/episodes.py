@@ -20,7 +20,7 @@ from sluice.functions.identity import (birth_order, entity_letter, flag_text, ou
                                        sex_letter, yes_flag)
 from sluice.functions.text import c, trim
 from sluice.operators import folds
-from sluice.operators.dedup import is_timestamp_key, missing_cells
+from sluice.operators.dedup import is_timestamp_key, missing_cells, shared_key_rows
 from sluice.operators.folds import HOUR, BirthFold, CollapseFold, EntityFold
 from sluice.operators.metrics import class_counts
 from sluice.session import cut_lineage
@@ -183,8 +183,10 @@ def collapse_records(frame: DataFrame, clock: str = "admission",
             .drop("rank", "cluster", "no_id"))
 
 
-def _with_counts(records: DataFrame) -> DataFrame:
-    return records.join(records.groupBy("uid").agg(F.count(F.lit(1)).alias("u_n")), "uid")
+def _with_counts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records with the number of records under their uid, those numbers)."""
+    sizes = records.groupBy("uid").agg(F.count(F.lit(1)).alias("u_n"))
+    return records.join(sizes, "uid"), sizes
 
 
 def _event_order() -> list[Column]:
@@ -194,13 +196,13 @@ def _event_order() -> list[Column]:
 
 def assign_entities(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> DataFrame:
     """Entity letter, stay number and basis for admission records."""
-    a = _with_counts(records.withColumn("t_event", F.coalesce("t_adm", "t_start")))
+    a, sizes = _with_counts(records.withColumn("t_event", F.coalesce("t_adm", "t_start")))
     several = (a.filter("u_n > 1").withColumn("seed", F.lit(False))
                .withColumn("letter_k", F.lit(None).cast("bigint"))
                .withColumn("stay", F.lit(None).cast("bigint")))
     placed = folds.ordered_fold(
         several, ["uid"], F.col("t_event") / MINUTE, _event_order(), EntityFold,
-        "rec bigint, letter_k bigint, stay bigint, basis string, joined boolean", chunk_rows)
+        "rec bigint, letter_k bigint, stay bigint, basis string, joined boolean", chunk_rows, sizes)
     out = a.join(placed.drop("joined"), "rec", "left").na.fill({"letter_k": 1, "stay": 1})
     return (out.withColumn("basis", F.coalesce("basis", F.lit("only record under this UID")))
             .withColumn("baby_id", _entity_id("letter_k")).drop("u_n"))
@@ -208,9 +210,9 @@ def assign_entities(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> D
 
 def assign_births(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> DataFrame:
     """Every birth record is an entity of its own, lettered in date order."""
-    r = _with_counts(records.withColumn("t_event", F.coalesce("t_adm", "t_start")))
+    r, sizes = _with_counts(records.withColumn("t_event", F.coalesce("t_adm", "t_start")))
     placed = folds.ordered_fold(r.filter("u_n > 1"), ["uid"], F.col("t_event") / MINUTE, _event_order(),
-                                BirthFold, "rec bigint, letter_k bigint, basis string", chunk_rows)
+                                BirthFold, "rec bigint, letter_k bigint, basis string", chunk_rows, sizes)
     out = r.join(placed, "rec", "left").na.fill({"letter_k": 1})
     return (out.withColumn("basis", F.coalesce("basis", F.lit("only record under this UID")))
             .withColumn("baby_id", _entity_id("letter_k")).drop("u_n"))
@@ -462,25 +464,39 @@ def dedup_episodes(df: DataFrame, role: str, adm_keys: DataFrame | None = None,
     return kept.unionByName(extra, allowMissingColumns=True), keys
 
 
+def _lines(row: DataFrame, **metrics: Column) -> DataFrame:
+    """(metric, n) lines from a one-row aggregate."""
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("metric"), x.cast("bigint").alias("n")) for name, x in metrics.items()]))
+        .alias("x")).select("x.*")
+
+
 def episode_summary(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Counts report of one linkage run: totals, bases and flags."""
-    has_stay = "stay_no" in after.columns
-    totals = after.agg(
-        F.count(F.lit(1)).alias("rows_out"), F.count_distinct("uid").alias("distinct_uids"),
-        F.count_distinct("baby_id").alias("distinct_babies"),
-        (F.count_distinct("baby_id", "stay_no") if has_stay else F.lit(None).cast("bigint"))
-        .alias("distinct_stays"),
-        F.count_if(F.col("dedup_flag").contains("no_uid")).alias("rows_without_uid"),
-        F.count_if(F.col("dedup_flag") != "none").alias("rows_flagged"))
-    rows_in = before.agg(F.count(F.lit(1)).alias("rows_in"))
-    shared = (after.groupBy(c("uid"), c("facility"), c("uniquekey")).agg(F.count(F.lit(1)).alias("n"))
-              .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
-                   .alias("rows_sharing_uid_facility_uniquekey")))
-    one = totals.join(rows_in).join(shared).withColumn("rows_collapsed", F.col("rows_in") - F.col("rows_out"))
-    names = one.columns
-    lines = one.select(F.explode(F.array(*[
-        F.struct(F.lit("episodes").alias("step"), F.lit("").alias("column"), F.lit(n).alias("metric"),
-                 F.col(n).cast("bigint").alias("n")) for n in names])).alias("x")).select("x.*")
+    """Counts report of one linkage run: totals, bases and flags.
+
+    Distinct ids, entities and stays come from one chain of groupings, each
+    working on the result of the one before."""
+    stay = ["stay_no"] if "stay_no" in after.columns else []
+    stays = after.groupBy("uid", "baby_id", *stay).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("dedup_flag").contains("no_uid")).alias("no_uid"),
+        F.count_if(F.col("dedup_flag") != "none").alias("flagged"))
+    ids = (stays.groupBy("uid", "baby_id").agg(F.count(F.lit(1)).alias("stays"), *[
+        F.sum(n).alias(n) for n in ("rows", "no_uid", "flagged")])
+           .groupBy("uid").agg(F.count("baby_id").alias("babies"), F.sum(
+               F.when(F.col("baby_id").isNotNull(), F.col("stays"))).alias("stays"), *[
+               F.sum(n).alias(n) for n in ("rows", "no_uid", "flagged")]))
+    total = ids.agg(F.count("uid").alias("uids"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in (
+        "babies", "stays", "rows", "no_uid", "flagged")])
+    found = {"rows_out": F.col("rows"), "rows_collapsed": -F.col("rows"), "distinct_uids": F.col("uids"),
+             "distinct_babies": F.col("babies"), "rows_without_uid": F.col("no_uid"), "rows_flagged": F.col("flagged")}
+    if stay:
+        found["distinct_stays"] = F.col("stays")
+    rows_in = before.agg(F.count(F.lit(1)).alias("n"))
+    shared = (shared_key_rows(after).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")))
+    lines = (_lines(total, **found).unionByName(_lines(rows_in, rows_in=F.col("n"), rows_collapsed=F.col("n")))
+             .unionByName(_lines(shared, rows_sharing_uid_facility_uniquekey=F.col("n")))
+             .groupBy("metric").agg(F.sum("n").alias("n"))
+             .select(F.lit("episodes").alias("step"), F.lit("").alias("column"), "metric", "n"))
     bases = class_counts(after, "episodes", {"dedup_basis": F.col("dedup_basis")})
     flags = (after.filter(F.col("dedup_flag") != "none")
              .select(F.explode(F.split("dedup_flag", ";")).alias("metric")).groupBy("metric")

@@ -335,12 +335,14 @@ def fold_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fol
 
 
 def cut_keys(df: DataFrame, keys: Sequence[str], bucket: Column, chunk_rows: int = CHUNK_ROWS,
-             ) -> tuple[DataFrame, DataFrame | None]:
+             sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of large keys with ``_chunk``).  Chunks follow
     ``bucket``, a coarse non-decreasing function of the fold order; sizes come
-    from counts per (key, bucket), never from the rows of a key in one place."""
-    large = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_rows)
-             .select(*keys))
+    from counts per (key, bucket), never from the rows of a key in one place.
+    ``sizes`` are row counts per key where they are known already."""
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)))
+    large = sizes.toDF(*keys, "_n").filter(F.col("_n") > chunk_rows).select(*keys)
     if large.isEmpty():
         return df, None
     large = cut_lineage(large)
@@ -356,8 +358,9 @@ def cut_keys(df: DataFrame, keys: Sequence[str], bucket: Column, chunk_rows: int
 
 
 def ordered_fold(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column],
-                 fold: type, schema: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                 fold: type, schema: str, chunk_rows: int = CHUNK_ROWS,
+                 sizes: DataFrame | None = None) -> DataFrame:
     """Fold over all keys, large ones in chunks."""
-    plain, hot = cut_keys(df, keys, bucket, chunk_rows)
+    plain, hot = cut_keys(df, keys, bucket, chunk_rows, sizes)
     out = fold_groups(plain, keys, order, fold, schema)
     return out if hot is None else out.unionByName(fold_chunks(hot, keys, order, fold, schema))

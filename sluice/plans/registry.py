@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.shapes import bind
+from sluice.session import cut_lineage
+
 # Country tokens of file names.
 COUNTRIES = ("MWI", "ZIM")
 
@@ -50,16 +53,16 @@ def episode_role(dataset: str, country: str | None = None,
 def parse_file_name(name: Column) -> Column:
     """struct(prefix, country, source, dataset, stamp); null when the name has
     neither ``country_source_dataset_date.csv`` nor ``country_dataset_date.csv``."""
-    def part(i: int) -> Column:
-        return F.regexp_extract(name, FILE_NAME, i)
+    def parsed(p: Column) -> Column:
+        source = F.lower(F.get(p, F.lit(2)))
+        return F.struct(
+            F.lower(F.concat(F.get(p, F.lit(0)), F.lit("_"), F.get(p, F.lit(1)))).alias("prefix"),
+            F.upper(F.get(p, F.lit(0))).alias("country"),
+            F.when(source == "db", "database").when(source == "mb", "metabase").otherwise("auto").alias("source"),
+            F.lower(F.get(p, F.lit(3))).alias("dataset"), F.get(p, F.lit(4)).alias("stamp"))
 
-    source = F.lower(part(3))
-    return F.when(name.rlike(FILE_NAME), F.struct(
-        F.lower(F.concat(part(1), F.lit("_"), part(2))).alias("prefix"),
-        F.upper(part(1)).alias("country"),
-        F.when(source == "db", "database").when(source == "mb", "metabase")
-        .otherwise("auto").alias("source"),
-        F.lower(part(4)).alias("dataset"), part(5).alias("stamp")))
+    parts = F.split(F.regexp_replace(name, FILE_NAME, "$1|$2|$3|$4|$5"), r"\|", -1)
+    return F.when(name.rlike(FILE_NAME), bind(parts, parsed))
 
 
 def file_plan(files: DataFrame, datasets: DataFrame, name: str = "file_name",
@@ -71,7 +74,7 @@ def file_plan(files: DataFrame, datasets: DataFrame, name: str = "file_name",
         out = out.filter(F.col(name).rlike(keep))
     if skip:
         out = out.filter(~F.col(name).isin(*skip))
-    known = F.broadcast(datasets.select(F.col("dataset").alias("_known"), "fallback", "pair"))
+    known = datasets.select(F.col("dataset").alias("_known"), "fallback", "pair")
     p = F.col("_p")
     out = (out.withColumn("_p", parse_file_name(F.col(name)))
            .select("*", *[p[f].alias(f) for f in ("prefix", "country", "source", "dataset", "stamp")])
@@ -85,6 +88,7 @@ def file_plan(files: DataFrame, datasets: DataFrame, name: str = "file_name",
 def pair_files(plan: DataFrame, name: str = "file_name") -> DataFrame:
     """Adds ``paired_file``: the paired dataset's file of the same stamp, else
     the last one by name with the same prefix."""
+    plan = cut_lineage(plan)
     runs = plan.filter(F.col("run"))
     others = runs.select("prefix", F.col("dataset").alias("pair"), "stamp", F.col(name).alias("_f"))
     same = others.groupBy("prefix", "pair", "stamp").agg(F.max("_f").alias("_same"))
