@@ -336,7 +336,7 @@ def match_admissions(dis: DataFrame, adm: DataFrame, pair_limit: int = PAIR_LIMI
     block = [*KEY, "_ab", "_db"]
     schema = "rec bigint, " + ", ".join(
         f"{t}_0 bigint, {t}_1 bigint, {t}_best {_BEST}" for t in _TIERS)
-    partial = (left.unionByName(right).repartition(folds.fold_tasks(adm), *block).sortWithinPartitions(*block, "_dis")
+    partial = (left.unionByName(right).transform(folds.together, block).sortWithinPartitions(*block, "_dis")
                .mapInPandas(_block_matches, schema))
     merged = partial.groupBy("rec").agg(*[
         agg for t in _TIERS for agg in (F.sum(f"{t}_0").alias(f"{t}_0"), F.sum(f"{t}_1").alias(f"{t}_1"),

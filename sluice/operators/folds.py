@@ -287,15 +287,20 @@ def fold_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fol
                 schema: str) -> DataFrame:
     """One sequential pass per key; rows of a key arrive in ``order``."""
     return (df.select(*keys, *[n for n in fold.columns if n not in keys], *_order_columns(order))
-            .repartition(fold_tasks(df), *keys).sortWithinPartitions(*keys, *_order_names(order))
+            .transform(together, keys).sortWithinPartitions(*keys, *_order_names(order))
             .mapInPandas(_walk(fold, keys, False), schema))
 
 
-def fold_tasks(df: DataFrame) -> int:
-    """Partitions for Python work: the session's shuffle partitions.  A stated
-    number keeps small rows from being packed into few tasks, which is right for
-    bytes but not for the time a fold takes."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def together(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows of a key in one partition, for a function over whole partitions.
+
+    The rows are placed by a hash computed here, not by the keys themselves: a
+    join on the same keys underneath would make Spark drop the exchange, and
+    adaptive execution may later spread that join's rows again.  A stated number
+    of partitions keeps few bytes with much Python work from being packed into
+    few tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, F.xxhash64(*keys))
 
 
 def _order_columns(order: Sequence[Column]) -> list[Column]:
@@ -319,7 +324,7 @@ def fold_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fol
     states = None
     while True:
         feed = rows if states is None else rows.unionByName(states, allowMissingColumns=True)
-        out = cut_lineage(feed.repartition(fold_tasks(feed), *group)
+        out = cut_lineage(feed.transform(together, group)
                           .sortWithinPartitions(*group, F.col("_state").asc_nulls_last(),
                                                 *_order_names(order))
                           .mapInPandas(_walk(fold, keys, True), out_schema))

@@ -223,3 +223,32 @@ def test_entities_and_links(spark, data, chunk_rows, pair_limit):
     linked = ep.link_discharges(d_records, a, chunk_rows, pair_limit, block_rows=5)
     got = {r["rec"]: (r["letter_k"], r["stay"], r["link_basis"]) for r in linked.collect()}
     assert got == {r["rec"]: (r["k"], r["stay"], r["basis"]) for r in dis}
+
+
+def test_a_key_with_a_third_of_all_rows(spark):
+    """One pass over many partitions, chunks, and the fold in plain order agree."""
+    from pyspark.sql import functions as F
+
+    from sluice.operators.folds import EntityFold
+
+    n = 6000
+    i = F.col("id")
+    hour = 3_600_000_000
+    records = (spark.range(0, n, 1, 7).select(
+        i.alias("rec"), F.when(i % 3 == 0, "HOT").otherwise(F.concat(F.lit("U"), (i % 700).cast("string"))).alias("uid"),
+        F.when(i % 5 == 0, "H2").otherwise("H1").alias("facility"), (F.pmod(i * 7919, F.lit(n)) * hour).alias("t_adm"),
+        F.lit(None).cast("bigint").alias("t_start"), F.when(i % 4 > 0, F.when(i % 2 == 0, "M").otherwise("F")).alias("sex"),
+        F.when(i % 7 > 0, (2000 + (i % 40) * 40).cast("double")).alias("bw"), (36 + i % 5).cast("double").alias("ga"),
+        (i % 11 == 0).alias("readm"), F.when(i % 6 == 0, (i % 4).cast("double")).alias("apgar5"),
+        F.lit(None).cast("string").alias("mode"), F.lit(None).cast("string").alias("birthf"),
+        F.lit(None).cast("double").alias("matage"), F.struct(F.lit(0).cast("bigint").alias("t"), F.lit(0).alias("m"), i.alias("r")).alias("place")))
+    rows = sorted(records.collect(), key=lambda r: (r["uid"], r["t_adm"], r["facility"], r["rec"]))
+    want, current, fold = {}, None, None
+    for r in rows:
+        if r["uid"] != current:
+            current, fold = r["uid"], EntityFold()
+        got = fold.step([r["rec"], False, *[r[f] for f in EntityFold.columns[2:11]], None, None])
+        want[got[0]] = tuple(got[1:3])
+    for chunk_rows in (100_000, 300):
+        out = ep.assign_entities(records, chunk_rows).collect()
+        assert {r["rec"]: (r["letter_k"], r["stay"]) for r in out} == want
