@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.shapes import parse_datetime
 from sluice.functions.text import c
 from sluice.operators import clean, dedup, ids, lookups, pii, reasons
 from sluice.operators.columns import merge_duplicates, resolve_twins
@@ -183,7 +184,6 @@ def clean_file(spark: SparkSession, path: str, out_dir: str, dictionary: Diction
     if paired_path and not cfg.episodes:
         found = csv_text.scan_columns(spark, paired_path, ["uid", "facility", ADMISSION_DATE])
         if found is not None:
-            from sluice.functions.shapes import parse_datetime
             lookup = found.withColumn(ADMISSION_DATE, parse_datetime(c(ADMISSION_DATE)))
     result = clean_table(raw, header, dictionary, cfg, paired, adm_keys, lookup)
     table = cut_lineage(result.table)
@@ -192,8 +192,7 @@ def clean_file(spark: SparkSession, path: str, out_dir: str, dictionary: Diction
 
     manifest.assert_deidentified(spark, f"{out_dir}/deidentified", path, dictionary.checksum)
     n_rejected = sinks.write_rejects(result.rejected, f"{out_dir}/rejected", dictionary, cfg)
-    sinks.write_csv(table, f"{out_dir}/cleaned_csv", "cleaned", dictionary, cfg)
-    sinks.write_table(table, f"{out_dir}/cleaned", "cleaned", dictionary, cfg)
+    sinks.write_cleaned(table, f"{out_dir}/cleaned_csv", f"{out_dir}/cleaned", dictionary, cfg)
     if cfg.save_deidentified:
         sinks.write_table(result.raw, f"{out_dir}/deidentified_raw", "deidentified", dictionary, cfg)
     if cfg.save_harmonised:
