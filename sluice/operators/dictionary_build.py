@@ -14,6 +14,7 @@ from sluice.functions.pii import (NAME_PATTERNS, QUASI_PATTERNS, STAFF_VALUES_NO
                                   value_pattern)
 from sluice.functions.text import db_name_col, snake_name_col, trim
 from sluice.operators.dedup import first_row
+from sluice.operators.ranking import running_number
 
 # Form data types and the types used here.
 TYPE_MAP = {
@@ -208,9 +209,10 @@ def build_value_maps(variables: DataFrame, data_keys: DataFrame) -> DataFrame:
         older = older.join(current.select(*SCOPE, "question_key", column),
                            [*SCOPE, "question_key", column], "left_anti")
     last = current.groupBy(*SCOPE, "question_key").agg(F.max("option_order").alias("_last"))
-    w = Window.partitionBy(*SCOPE, "question_key").orderBy(*place)
-    older = (older.join(last, [*SCOPE, "question_key"], "left")
-             .withColumn("option_order", (F.coalesce("_last", F.lit(0)) + F.row_number().over(w)).cast("int")))
+    newest_first = -F.unix_micros(F.col("publishDate").cast("timestamp"))
+    older = (running_number(older, [*SCOPE, "question_key"], newest_first, place[1:], "_number")
+             .join(last, [*SCOPE, "question_key"], "left")
+             .withColumn("option_order", (F.coalesce("_last", F.lit(0)) + F.col("_number")).cast("int")))
     columns = [*SCOPE, "question_key", "raw_code", "option_label", "option_order", "option_uuid"]
     out = current.select(*columns).unionByName(older.select(*columns))
     return out.withColumn("canonical_code", F.col("raw_code"))
