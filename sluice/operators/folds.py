@@ -48,10 +48,41 @@ class CollapseFold:
     out = ("fid", "cluster")
 
     def __init__(self, state: list | None = None):
-        self.open = state or []                      # [[cluster id, [member, ...]], ...]
+        self.open: dict[int, list] = {}              # group number -> [cluster id, [member, ...]]
+        self.near: dict[tuple, set[int]] = {}        # (clock, hour) -> groups with a member there
+        self.n, self.steps, self.clock = 0, 0, None
+        for cluster, members in state or []:
+            self.n += 1
+            self.open[self.n] = [cluster, []]
+            for m in members:
+                self._add(self.n, m)
 
     def state(self) -> list:
-        return self.open
+        self._close()
+        return [g for _, g in sorted(self.open.items())]
+
+    def _add(self, number: int, member) -> None:
+        p, q = member[0], member[1]
+        self.open[number][1].append(member)
+        for name, t in (("p", p), ("q", q), ("q only", q if p is None else None)):
+            if t is not None:
+                self.near.setdefault((name, t // HOUR), set()).add(number)
+
+    def _close(self) -> None:
+        """Forget the groups no later row can join."""
+        if self.clock is not None:
+            self.open = {i: g for i, g in self.open.items() if not self._closed(g[1], self.clock)}
+            self.near = {k: left for k, v in self.near.items() if (left := {i for i in v if i in self.open})}
+
+    def _candidates(self, member) -> list[int]:
+        """Groups with a member within reach, oldest first."""
+        p, q = member[0], member[1]
+        places = []
+        if p is not None:
+            places += [("p", p // HOUR + i) for i in (-1, 0, 1)]
+        if q is not None:
+            places += [("q only" if p is not None else "q", q // HOUR + i) for i in (-1, 0, 1)]
+        return sorted(set().union(*[self.near.get(k, ()) for k in places]))
 
     @staticmethod
     def compatible(a, b) -> bool:
@@ -75,13 +106,18 @@ class CollapseFold:
                 and any(m[1] is None or m[1] < limit for m in members))
 
     def step(self, row):
-        fid, clock, *member = row
-        self.open = [g for g in self.open if not self._closed(g[1], clock)]
-        for cluster, members in self.open:
+        fid, self.clock, *member = row
+        self.steps += 1
+        if self.steps % 1024 == 0:
+            self._close()
+        for number in self._candidates(member):
+            cluster, members = self.open[number]
             if all(self.compatible(m, member) for m in members):
-                members.append(member)
+                self._add(number, member)
                 return fid, cluster
-        self.open.append([fid, [member]])
+        self.n += 1
+        self.open[self.n] = [fid, []]
+        self._add(self.n, member)
         return fid, fid
 
 
