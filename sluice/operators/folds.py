@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.session import cut_lineage
+from sluice.session import cut_lineage, ship
 
 CHUNK_ROWS = 100_000
 HOUR = 3_600_000_000  # microseconds
@@ -335,6 +335,7 @@ def together(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     adaptive execution may later spread that join's rows again.  A stated number
     of partitions keeps few bytes with much Python work from being packed into
     few tasks."""
+    ship(df.sparkSession)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, F.xxhash64(*keys))
 
