@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sluice.llm import byte_bpe, embeddings, exact_dedup, html_text, licences, mixing, ngram_join, toxicity
+from sluice.llm import byte_bpe, embeddings, exact_dedup, html_text, licences, line_dedup, mixing, ngram_join, surrogates, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,11 +36,35 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("times")
 
 
+@query("op2_surrogates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(documents(spark, sf_dir), key="production-key")
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(documents(spark, sf_dir), TOKENIZER, public_tokenizers.PATTERN)
 
 
+@query("op4_line_dedup", """WITH line AS (
+  SELECT doc_id, i - 1 AS no, regexp_extract_all(x[i], '[^ \\t-\\r]+') AS words
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents) t, unnest(range(1, len(x) + 1)) r(i)),
+known AS (SELECT array_to_string(words, ' ') AS k, min((doc_id, no)) AS place, any_value(words) AS words, any_value(len(words)) AS n
+  FROM line WHERE len(words) > 0 GROUP BY 1),
+variant AS (SELECT k, place, n, i, array_to_string(words[1 : i - 1] || words[i + 1 : n], ' ') AS v
+  FROM known, unnest(range(1, n + 1)) r(i) WHERE n >= 10),
+near AS (
+  SELECT k FROM (SELECT k, place, min(place) OVER (PARTITION BY n, i, v) AS lead FROM variant) WHERE lead < place
+  UNION SELECT t.k FROM variant t JOIN known s ON t.v = s.k WHERE t.n > 10 AND s.place < t.place
+  UNION SELECT s.k FROM variant t JOIN known s ON t.v = s.k WHERE t.n > 10 AND t.place < s.place),
+fate AS (SELECT l.doc_id, l.no, len(l.words) = 0 OR (k.place = (l.doc_id, l.no) AND near.k IS NULL) AS kept
+  FROM line l LEFT JOIN known k ON k.k = array_to_string(l.words, ' ') LEFT JOIN near ON near.k = k.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (kept) AS n_kept,
+  coalesce(string_agg(no::VARCHAR, ',' ORDER BY no) FILTER (NOT kept), '') AS dropped FROM fate GROUP BY doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(documents(spark, sf_dir))
+
+
 @query("op5_embedding_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
