@@ -23,7 +23,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.graph import components
@@ -142,35 +142,28 @@ def _prefixes(n: int, percent: int, most: int, held):
     return batches
 
 
-def _wanted(held):
-    """Sets of the documents whose id is in a bitmap of fixed size; the join that follows is exact."""
-    def sets(n: int):
-        def batches(found):
-            bits = held.value
-            for batch in found:
-                ids = batch["doc_id"].to_numpy(zero_copy_only=False).astype(np.int64)
-                batch = batch.filter(pa.array(_in_bitmap(bits, ids)))
-                lists = []
-                for _, counts, tokens in shingle_sets(_texts(batch), n):
-                    lists += np.split(tokens.view(np.int64), np.cumsum(counts)[:-1])
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64)))],
-                    ["doc_id", "grams"])
-
-        return batches
+def _wanted(n: int, held):
+    """Sets of the documents whose id is in a bitmap of fixed size; the joins that follow are exact."""
+    def batches(found):
+        bits = held.value
+        for batch in found:
+            batch = batch.filter(pa.array(_in_bitmap(bits, batch["doc_id"].to_numpy())))
+            lists = []
+            for _, counts, tokens in shingle_sets(_texts(batch), n):
+                lists += np.split(tokens.view(np.int64), np.cumsum(counts)[:-1])
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64)))],
+                ["doc_id", "grams"])
 
-    return sets
+    return batches
 
 
 BITMAP_BITS = 22
 
 
-def _slots(ids):
-    """Place of a document in the bitmap, in SQL (column) and numpy (array) alike."""
-    if isinstance(ids, np.ndarray):
-        return ((ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-    return ids
+def _slots(ids: np.ndarray) -> np.ndarray:
+    return ((ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
 def _in_bitmap(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -183,7 +176,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     def batches(found):
         bits = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
         for batch in found:
-            slot = _slots(batch["id"].to_numpy().astype(np.int64))
+            slot = _slots(batch["id"].to_numpy())
             np.bitwise_or.at(bits, slot >> 6, np.uint64(1) << (slot & 63).astype(np.uint64))
         words_set = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(words_set.astype(np.int64)), pa.array(bits[words_set].view(np.int64))], ["at", "bits"])
@@ -194,14 +187,60 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _possible(percent: int, held):
+    """Pairs whose prefixes allow enough overlap.  Up to the smaller of the two last tokens, both prefixes
+    hold all tokens of their sets: there the common ones are known, beyond it the rest may be common at most."""
+    def batches(found):
+        often = held.value
+        for batch in found:
+            xs, ys, good = [np.asarray(batch[c]) for c in ("xn", "yn")], [batch["xt"], batch["yt"]], np.zeros(len(batch), bool)
+            for k in range(len(batch)):
+                sides, limits = [], []
+                for side in (0, 1):
+                    tokens = ys[side][k].values.to_numpy().view(np.uint64)
+                    weight = often[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                    sides.append((tokens, weight))
+                    if len(tokens) < xs[side][k]:
+                        limits.append((weight[-1], tokens[-1]))
+                if limits:
+                    w, t = min(limits)
+                    sides = [(tokens[at], at) for tokens, weight in sides for at in [(weight < w) | ((weight == w) & (tokens <= t))]]
+                common = len(np.intersect1d(sides[0][0], sides[1][0], assume_unique=True))
+                most = common + min(int(xs[0][k]) - len(sides[0][0]), int(xs[1][k]) - len(sides[1][0]))
+                good[k] = 100 * most >= percent * (int(xs[0][k]) + int(xs[1][k]) - most)
+            mask = pa.array(good)
+            yield pa.RecordBatch.from_arrays([batch["x"].filter(mask), batch["y"].filter(mask)], ["x", "y"])
+
+    return batches
+
+
+def _listed(held):
+    def batches(found):
+        bits = held.value
+        for batch in found:
+            yield batch.filter(pa.array(_in_bitmap(bits, batch["doc_id"].to_numpy())))
+
+    return batches
+
+
+def _bounded(pairs: DataFrame, rows: DataFrame, percent: int, often, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs that the bound by prefixes leaves."""
+    spark = pairs.sparkSession
+    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
+    lists = (rows.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "tokens")
+             .mapInArrow(_listed(spark.sparkContext.broadcast(_bitmap(ids))), "doc_id long, n long, tokens array<long>"))
+    lists = lists.dropDuplicates(["doc_id", "tokens"])
+    both = pairs.select("x", "y").join(lists.toDF("x", "xn", "xt"), "x").join(lists.toDF("y", "yn", "yt"), "y")
+    return scratch.keep(both.mapInArrow(_possible(percent, often), "x long, y long").distinct(), name)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (x, y) that link.  Only the sets of documents in a pair are made again and moved."""
     spark = pairs.sparkSession
     ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
     held = spark.sparkContext.broadcast(_bitmap(ids))
-    sets = (texts.where("doc_id IS NOT NULL").mapInArrow(_wanted(held)(n), "doc_id long, grams array<long>")
-            .join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"))
-    sets = scratch.keep(sets, f"{name}-sets")
+    # A document that is in the bitmap by chance finds no pair below.
+    sets = scratch.keep(texts.where("doc_id IS NOT NULL").mapInArrow(_wanted(n, held), "doc_id long, grams array<long>"), f"{name}-sets")
     x, y = sets.toDF("x", "xs"), sets.toDF("y", "ys")
     both = F.size(F.array_intersect("xs", "ys")).cast("long")
     links = (pairs.select("x", "y").join(x, "x").join(y, "y").withColumn("both", both)
@@ -211,10 +250,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int, scratch:
     return links
 
 
-def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int = 4, frequent: int = 16, bucket: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int = 4, frequent: int = 16, bucket: int = 16, tries: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.  ``most`` is the largest number of
     matches a document may ask for, ``frequent`` the posting length from which buckets of about ``bucket``
-    documents are linked beforehand."""
+    documents are linked beforehand, each document in up to ``tries`` of them."""
     if not 0 < Fraction(percent, 100) <= 1:
         raise ValueError("percent must be above 0 and at most 100")
     spark = docs.sparkSession
@@ -234,10 +273,13 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
 
     # Buckets of frequent tokens.
     spot = F.pmod(F.xxhash64("rid", "token"), F.ceil(F.col("df") / bucket))
-    hot = posts.where(F.col("df") > frequent).withColumn("b", spot)
+    # Documents of a group prefer the same tokens, so a few of each are enough to meet.
+    few = Window.partitionBy("rid").orderBy(F.xxhash64("token"))
+    hot = (posts.where(F.col("df") > frequent).select("token", "rid", "df").withColumn("turn", F.row_number().over(few)).where(F.col("turn") <= tries)
+           .withColumn("b", spot))
     heads = hot.groupBy("token", "b").agg(F.min_by("rid", F.xxhash64("token", "rid")).alias("x"))
     first = hot.join(heads, ["token", "b"]).where("x != rid").select(F.least("x", "rid").alias("x"), F.greatest("x", "rid").alias("y")).distinct()
-    first = scratch.keep(first, "first-pairs")
+    first = _bounded(first, rows, percent, held, scratch, "first-pairs")
     links = _verified(first, texts, n, percent, scratch, "first-links")
     joined = components(links.select(F.col("x").alias("src"), F.col("y").alias("dst")), "ngram-first")
     posts = posts.join(joined.toDF("rid", "c"), "rid", "left").withColumn("c", F.coalesce("c", "rid"))
@@ -255,7 +297,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
                     & (F.col("x_level") <= asked) & (F.col("y_level") <= asked))
              .groupBy(F.least("x_rid", "y_rid").alias("x"), F.greatest("x_rid", "y_rid").alias("y"))
              .agg(F.count("*").alias("m"), F.min(asked).alias("asked")).where("m >= asked").select("x", "y"))
-    pairs = scratch.keep(pairs, "pairs")
+    pairs = _bounded(pairs, rows, percent, held, scratch, "pairs")
     more = _verified(pairs, texts, n, percent, scratch, "links")
     edges = links.union(more)
     # Rows that share a doc_id are one document: its sets meet in it.
