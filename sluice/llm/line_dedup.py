@@ -29,8 +29,13 @@ def lines(docs: DataFrame) -> DataFrame:
                        F.array_remove(F.split("line", "[ \\t-\\r]+"), "").alias("words"))
 
 
-def _halves(least: int) -> list:
-    """Hashes of the first and the last half: of the line's own length, and of one word less."""
+#: Bits of the bitmap that says which lines are wanted; its size does not depend on the data.
+BITMAP_BITS = 22
+
+
+def _halves(least: int) -> list[Column]:
+    """Hashes of the first and the last half, once as the shorter line of a pair and once as
+    the longer one, whose halves are those of one word less."""
     out = []
     for a in ("size(words)", "(size(words) - 1)"):
         half = f"cast(floor({a} / 2) AS int)"
@@ -39,34 +44,69 @@ def _halves(least: int) -> list:
     return out
 
 
-def _near(words: DataFrame, scratch: Scratch) -> DataFrame:
-    """Keys of lines that are near to an earlier one, with that line's key."""
-    letters = words.select("key", "at", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
-    line = Window.partitionBy("key").orderBy("i")
+def _slot(key: str = "key") -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - BITMAP_BITS)
+
+
+def _wanted(keys: DataFrame) -> Column:
+    """True for keys of the table and some others.  Spark ORs the bits; 512 KiB reach the driver at most."""
+    rows = keys.select(_slot().alias("s")).groupBy(F.shiftright("s", 3).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(s & 7 AS int))")).alias("bits")).collect()
+    bits = bytearray(1 << (BITMAP_BITS - 3))
+    for row in rows:
+        bits[row["at"]] = row["bits"]
+    byte = F.conv(F.hex(F.substring(F.lit(bytes(bits)), F.shiftright(_slot(), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (_slot() % 8 + 1).cast("int"))) != 0
+
+
+def _suspects(distinct: DataFrame) -> DataFrame:
+    """Lines that share a half with a line they may be near to, and the half in which the edit
+    must then be: as one of two equally long lines, as the longer or as the shorter one."""
+    spots = distinct.select("key", F.explode(F.array(*(
+        F.struct(F.col(f"h{i}").alias("h"), F.lit(i % 2 == 0).alias("first"), F.lit(i > 1).alias("longer")) for i in range(4)))).alias("s")).select("key", "s.*").where("h IS NOT NULL")
+    groups = spots.groupBy("h").agg(F.count_if(~F.col("longer")).alias("short"), F.count_if("longer").alias("long")).where("short > 1 OR (short > 0 AND long > 0)")
+    met = spots.join(groups, "h")
+    return met.groupBy("key").agg(
+        F.max(F.expr("NOT longer AND short > 1 AND first")).alias("swap_last"), F.max(F.expr("NOT longer AND short > 1 AND NOT first")).alias("swap_first"),
+        F.max(F.expr("longer AND short > 0 AND first")).alias("drop_last"), F.max(F.expr("longer AND short > 0 AND NOT first")).alias("drop_first"),
+        F.max(F.expr("NOT longer AND long > 0")).alias("whole")).where("swap_last OR swap_first OR drop_last OR drop_first OR whole")
+
+
+def _codes(words: DataFrame) -> DataFrame:
+    """(code, id, role): role 0 is a variant at its place, 1 a variant of a longer line, 2 a whole line.  Rows of
+    one line stay in the task that holds its words."""
+    letters = words.repartition("id").select("id", "n", "swap_last", "swap_first", "drop_last", "drop_first", "whole", F.posexplode("words").alias("i", "word"))
+    letters = letters.withColumn("here", F.xxhash64("word", "i")).withColumn("moved", F.xxhash64("word", F.col("i") - 1))
+    line = Window.partitionBy("id").orderBy("i")
     before, after = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
-    variants = letters.select(
-        "key", "at", "n", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved")).select(
-        "key", "at", "n", "i", "here", F.coalesce(F.bit_xor("here").over(before), F.lit(0)).bitwiseXOR(F.coalesce(F.bit_xor("moved").over(after), F.lit(0))).alias("v"))
-    variants = scratch.keep(variants, "variants")
-    whole = variants.groupBy("key").agg(F.bit_xor("here").alias("v"), F.min("at").alias("at"), F.min("n").alias("n"))
-    # A word replaced: the same variant at the same place.
-    groups = variants.groupBy("n", "i", "v").agg(F.count("*").alias("lines"), F.min(F.struct("at", "key")).alias("first")).where("lines > 1")
-    replaced = variants.join(groups, ["n", "i", "v"]).where("first.at < at").select("key", F.col("first.key").alias("earlier"))
-    # A word added or left out: a variant of the longer line is the shorter line.
-    longer = variants.select(F.col("key").alias("long_key"), F.col("at").alias("long_at"), (F.col("n") - 1).alias("n"), "v")
-    meet = longer.join(whole.select(F.col("key").alias("short_key"), F.col("at").alias("short_at"), "n", "v"), ["n", "v"])
-    added = meet.where("short_at < long_at").select(F.col("long_key").alias("key"), F.col("short_key").alias("earlier"))
-    left_out = meet.where("long_at < short_at").groupBy(F.col("short_key").alias("key")).agg(F.min_by("long_key", "long_at").alias("earlier"))
-    pairs = scratch.keep(replaced.union(added).union(left_out).distinct(), "pairs")
-    a, b = words.select("key", F.col("words").alias("a")), words.select(F.col("key").alias("earlier"), F.col("words").alias("b"))
-    both = pairs.join(a, "key").join(b, "earlier")
-    # One edit: what agrees from the start and from the end leaves at most one word.
+    letters = (letters.withColumn("v", F.coalesce(F.bit_xor("here").over(before), F.lit(0)).bitwiseXOR(F.coalesce(F.bit_xor("moved").over(after), F.lit(0))))
+               .withColumn("x", F.bit_xor("here").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    swap = F.expr("swap_last AND i >= floor(n / 2) OR swap_first AND i < floor(n / 2)")
+    drop = F.expr("drop_last AND i >= floor((n - 1) / 2) OR drop_first AND i <= floor((n - 1) / 2)")
+    return letters.select("id", F.explode(F.array_compact(F.array(
+        F.when(swap, F.struct(F.xxhash64(F.lit("place"), "n", "i", "v").alias("code"), F.lit(0).alias("role"))),
+        F.when(drop, F.struct(F.xxhash64(F.lit("whole"), F.col("n") - 1, "v").alias("code"), F.lit(1).alias("role"))),
+        F.when(F.expr("whole AND i = 0"), F.struct(F.xxhash64(F.lit("whole"), "n", "x").alias("code"), F.lit(2).alias("role"))))))).select("col.code", "id", "col.role")
+
+
+def _near(words: DataFrame, scratch: Scratch) -> DataFrame:
+    """Ids of lines that are near to an earlier one; ids follow the order of the lines."""
+    codes = scratch.keep(_codes(words), "codes")
+    groups = codes.groupBy("code").agg(F.count("*").alias("m"), F.min(F.expr("CASE WHEN role < 2 THEN id END")).alias("variant"),
+                                       F.min(F.expr("CASE WHEN role = 2 THEN id END")).alias("line")).where("m > 1")
+    earlier = F.when(F.col("role") == 1, F.col("line")).otherwise(F.col("variant"))
+    pairs = codes.join(groups, "code").withColumn("earlier", earlier).where("earlier < id").select("id", "earlier").distinct()
+    pairs = scratch.keep(pairs, "pairs")
+    a, b = words.select("id", F.col("words").alias("a")), words.select(F.col("id").alias("earlier"), F.col("words").alias("b"))
+
     def run(x: Column, y: Column) -> Column:
         at = F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), False)
         return F.when(at > 0, at - 1).otherwise(F.least(F.size("a"), F.size("b")))
 
+    # One edit: what agrees from the start and from the end leaves at most one word.
     agreed = run(F.col("a"), F.col("b")) + run(F.reverse("a"), F.reverse("b"))
-    return scratch.keep(both.where(agreed >= F.greatest(F.size("a"), F.size("b")) - 1).select("key", "earlier").distinct(), "near")
+    near = pairs.join(a, "id").join(b, "earlier").where(agreed >= F.greatest(F.size("a"), F.size("b")) - 1)
+    return scratch.keep(near.select("id").distinct(), "near")
 
 
 def decide(docs: DataFrame, least: int = 10) -> DataFrame:
@@ -74,16 +114,17 @@ def decide(docs: DataFrame, least: int = 10) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "line-dedup")
     every = lines(docs).withColumn("key", F.unhex(F.md5(F.concat_ws(" ", "words"))))
     rows = scratch.keep(every.select("at", F.size("words").alias("n"), "key", *_halves(least)), "lines")
-    halves = ["h0", "h1", "h2", "h3"]
-    distinct = scratch.keep(rows.where("n > 0").groupBy("key").agg(F.min("at").alias("first"), *(F.max(h).alias(h) for h in halves)), "distinct")
-    spots = distinct.select("key", F.explode(F.array_compact(F.array(*halves))).alias("half"))
-    shared = spots.groupBy("half").agg(F.count("*").alias("m")).where("m > 1").select("half")
-    suspects = scratch.keep(spots.join(shared, "half", "left_semi").select("key").distinct().join(distinct.select("key", "first"), "key"), "suspects")
-    words = scratch.keep(every.join(suspects.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & (F.col("at") == F.col("first")))
-                         .select("key", "at", "words").dropDuplicates(["key"]), "words")
-    near = _near(words, scratch).select("key").distinct().withColumn("near", F.lit(True))
+    distinct = scratch.keep(rows.where("n > 0").groupBy("key").agg(
+        F.min("at").alias("first"), F.max("n").alias("n"), *(F.max(f"h{i}").alias(f"h{i}") for i in range(4))), "distinct")
+    # A sorted table numbered in its order: ids compare as the lines do.
+    suspects = scratch.keep(_suspects(distinct).join(distinct.select("key", "first", "n"), "key").orderBy("first")
+                            .withColumn("id", F.monotonically_increasing_id()), "suspects")
+    wanted = suspects.withColumnRenamed("key", "k")
+    words = (every.where(_wanted(suspects)).join(wanted, (F.col("key") == F.col("k")) & (F.col("at") == F.col("first")))
+             .select("id", "n", "swap_last", "swap_first", "drop_last", "drop_first", "whole", "words").dropDuplicates(["id"]))
+    near = _near(scratch.keep(words, "words"), scratch).join(suspects.select("id", "key"), "id").select("key", F.lit(True).alias("near"))
     fate = distinct.select("key", "first").join(near, "key", "left")
-    return (rows.join(fate, "key", "left")
+    return (rows.select("at", "n", "key").join(fate, "key", "left")
             .select("at.doc_id", "at.no", ((F.col("n") == 0) | ((F.col("at") == F.col("first")) & F.col("near").isNull())).alias("kept")).distinct())
 
 
