@@ -23,14 +23,18 @@ from sluice.llm.scratch import Scratch
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """(at, line, words): ``at`` orders the lines of the table."""
+    """(at, line): ``at`` orders the lines of the table."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return rows.select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "no").alias("at"),
-                       F.array_remove(F.split("line", "[ \\t-\\r]+"), "").alias("words"))
+    return rows.select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "no").alias("at"), "line")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    return (rows.withColumn("words", F.array_remove(F.split("line", "[ \\t-\\r]+"), ""))
+            .withColumn("key", F.unhex(F.md5(F.concat_ws(" ", "words")))))
 
 
 #: Bits of the bitmap that says which lines are wanted; its size does not depend on the data.
-BITMAP_BITS = 22
+BITMAP_BITS = 20
 
 
 def _halves(least: int) -> list[Column]:
@@ -44,19 +48,19 @@ def _halves(least: int) -> list[Column]:
     return out
 
 
-def _slot(key: str = "key") -> Column:
-    return F.shiftrightunsigned(F.xxhash64(key), 64 - BITMAP_BITS)
+def _slot(raw: Column) -> Column:
+    return F.shiftrightunsigned(raw, 64 - BITMAP_BITS)
 
 
-def _wanted(keys: DataFrame) -> Column:
-    """True for keys of the table and some others.  Spark ORs the bits; 512 KiB reach the driver at most."""
-    rows = keys.select(_slot().alias("s")).groupBy(F.shiftright("s", 3).alias("at")).agg(
+def _wanted(lines: DataFrame, raw: Column) -> Column:
+    """True where the hash ``raw`` is one of the table's, and for some others.  Spark ORs the bits; its bytes at most reach the driver."""
+    rows = lines.select(_slot(F.col("raw")).alias("s")).groupBy(F.shiftright("s", 3).alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1, cast(s & 7 AS int))")).alias("bits")).collect()
     bits = bytearray(1 << (BITMAP_BITS - 3))
     for row in rows:
         bits[row["at"]] = row["bits"]
-    byte = F.conv(F.hex(F.substring(F.lit(bytes(bits)), F.shiftright(_slot(), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (_slot() % 8 + 1).cast("int"))) != 0
+    byte = F.conv(F.hex(F.substring(F.lit(bytes(bits)), F.shiftright(_slot(raw), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (_slot(raw) % 8 + 1).cast("int"))) != 0
 
 
 def _suspects(distinct: DataFrame) -> DataFrame:
@@ -112,15 +116,15 @@ def _near(words: DataFrame, scratch: Scratch) -> DataFrame:
 def decide(docs: DataFrame, least: int = 10) -> DataFrame:
     """(doc_id, no, kept) for every line; ``no`` counts from 0 within the document."""
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    every = lines(docs).withColumn("key", F.unhex(F.md5(F.concat_ws(" ", "words"))))
-    rows = scratch.keep(every.select("at", F.size("words").alias("n"), "key", *_halves(least)), "lines")
+    every, raw = lines(docs), F.xxhash64("line")
+    rows = scratch.keep(_keyed(every).select("at", F.size("words").alias("n"), "key", raw.alias("raw"), *_halves(least)), "lines")
     distinct = scratch.keep(rows.where("n > 0").groupBy("key").agg(
-        F.min("at").alias("first"), F.max("n").alias("n"), *(F.max(f"h{i}").alias(f"h{i}") for i in range(4))), "distinct")
+        F.min("at").alias("first"), F.min_by("raw", "at").alias("raw"), F.max("n").alias("n"), *(F.max(f"h{i}").alias(f"h{i}") for i in range(4))), "distinct")
     # A sorted table numbered in its order: ids compare as the lines do.
-    suspects = scratch.keep(_suspects(distinct).join(distinct.select("key", "first", "n"), "key").orderBy("first")
+    suspects = scratch.keep(_suspects(distinct).join(distinct.select("key", "first", "raw", "n"), "key").orderBy("first")
                             .withColumn("id", F.monotonically_increasing_id()), "suspects")
-    wanted = suspects.withColumnRenamed("key", "k")
-    words = (every.where(_wanted(suspects)).join(wanted, (F.col("key") == F.col("k")) & (F.col("at") == F.col("first")))
+    wanted = suspects.withColumnRenamed("key", "k").drop("raw")
+    words = (_keyed(every.where(_wanted(suspects, raw))).join(wanted, (F.col("key") == F.col("k")) & (F.col("at") == F.col("first")))
              .select("id", "n", "swap_last", "swap_first", "drop_last", "drop_first", "whole", "words").dropDuplicates(["id"]))
     near = _near(scratch.keep(words, "words"), scratch).join(suspects.select("id", "key"), "id").select("key", F.lit(True).alias("near"))
     fate = distinct.select("key", "first").join(near, "key", "left")

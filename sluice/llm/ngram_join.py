@@ -32,7 +32,7 @@ from sluice.llm.texts import NOT_SPACE, mixed, words
 from sluice.session import ship
 
 #: Cells of the frequency sketch: its size does not depend on the data.
-CELL_BITS = 20
+CELL_BITS = 22
 PART_BITS = 16
 
 
@@ -66,9 +66,16 @@ def _sketch(n: int):
     """Per task, how often tokens fall into each cell, in compressed parts."""
     def batches(found):
         cells = np.zeros(1 << CELL_BITS, np.int64)
+        waiting, held = [], 0
         for batch in found:
             for _, _, tokens in shingle_sets(_texts(batch), n):
-                cells += np.bincount((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
+                waiting.append((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int32))
+                held += len(tokens)
+                if held > len(cells):
+                    cells += np.bincount(np.concatenate(waiting), minlength=len(cells))
+                    waiting, held = [], 0
+        if waiting:
+            cells += np.bincount(np.concatenate(waiting), minlength=len(cells))
         parts = [p.tobytes() for p in cells.reshape(-1, 1 << PART_BITS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([zlib.compress(p, 1) for p in parts], pa.binary())], ["part", "cells"])
 
@@ -97,7 +104,7 @@ def frequencies(texts: DataFrame, n: int) -> np.ndarray:
         cells[row.part << PART_BITS:(row.part + 1) << PART_BITS] += part
     # What unrelated tokens leave in every cell is no sign of a frequent token.
     noise = cells.mean() + 4 * np.sqrt(cells.mean())
-    return np.maximum(cells - noise, 0).astype(np.int64) + 1
+    return np.clip(cells - noise, 0, 2**30).astype(np.int32) + np.int32(1)
 
 
 def _prefixes(n: int, percent: int, most: int, held):
@@ -123,7 +130,7 @@ def _prefixes(n: int, percent: int, most: int, held):
                     chosen = 1
                     if size:
                         # Postings scanned plus, for l matches, candidates verified: at most the postings over l.
-                        seen = np.cumsum(weight[at:at + min(size, base + most - 1)])
+                        seen = np.cumsum(weight[at:at + min(size, base + most - 1)].astype(np.int64))
                         cost = [seen[base + l - 2] * (1 + size / 16 / l) for l in range(1, most + 1) if base + l - 1 <= size]
                         chosen = int(np.argmin(cost)) + 1 if cost else 1
                     sizes.append(size)
