@@ -7,9 +7,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from sluice.catalogue import views
+from sluice.catalogue import load, views
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = load()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
