@@ -23,18 +23,18 @@ MALE = ("Mr", "Mister", "Sir", "Herr", "Señor", "Sr", "Don", "Monsieur", "Го
 
 _TITLES = "|".join((*FEMALE, *MALE))
 _NAME = "\\p{Lu}[\\p{L}'-]{1,30}"
+# The one-character tests in front decide at nearly every place, before any long look-behind is tried.
 PATTERN = "|".join((
-    "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}",
+    "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}",
     "\\bAKIA[0-9A-Z]{16}\\b",
-    "(?<=\\b(?:password|passwd|pwd)(?:=|: ))[^\\s\"]+",
-    "(?<=\\b(?:token|secret|api_key|apikey)(?: = \"|=\"|: \"|=))[A-Za-z0-9_-]{16,}",
-    "(?<![\\w+])\\+?\\d{1,3}[ .-]?\\(\\d{2,4}\\)[ .-]?\\d{3,4}[ .-]?\\d{3,4}\\b",
-    "(?<![\\w+])\\+\\d{1,3}(?:[ .-]?\\d{2,4}){2,4}\\b",
-    "(?<![\\w.])\\d{1,3}(?:\\.\\d{1,3}){3}(?![\\w]|\\.\\d)",
-    "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])",
-    "(?<![\\w-])\\d{4}(?:[ -]?\\d{4}){2}[ -]?\\d{1,7}(?![\\w-])",
-    f"(?<=\\b(?:{_TITLES})\\.? ){_NAME}",
-    f"(?<=\\b(?:{_TITLES})\\.? {_NAME} ){_NAME}",
+    "(?<=[=:] ?)(?<=\\b(?:password|passwd|pwd)(?:=|: ))[^\\s\"]+",
+    "(?<=[=:] ?\"?)(?<=\\b(?:token|secret|api_key|apikey)(?: = \"|=\"|: \"|=))[A-Za-z0-9_-]{16,}",
+    "(?=[+\\d])(?<![\\w+])(?:\\+?\\d{1,3}[ .-]?\\(\\d{2,4}\\)[ .-]?\\d{3,4}[ .-]?\\d{3,4}\\b"
+    "|\\+\\d{1,3}(?:[ .-]?\\d{2,4}){2,4}\\b)",
+    "(?=\\d)(?:(?<![\\w.])\\d{1,3}(?:\\.\\d{1,3}){3}(?![\\w]|\\.\\d)"
+    "|(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
+    "|(?<![\\w-])\\d{4}(?:[ -]?\\d{4}){2}[ -]?\\d{1,7}(?![\\w-]))",
+    f"(?=\\p{{Lu}})(?<= )(?:(?<=\\b(?:{_TITLES})\\.? )|(?<=\\b(?:{_TITLES})\\.? {_NAME} )){_NAME}",
 ))
 
 
