@@ -11,7 +11,8 @@ is a candidate when it shares as many prefix tokens as the smaller l of the two
 
 Equal sets are one set.  Before the join, every frequent token links the documents of small random buckets to one of them, where
 they verify; the components of these links leave only pairs across components to the join, so that a large group of copies
-costs its rows, not its pairs.  All other pairs are looked at; no cap is set.
+costs its rows, not its pairs.  Of the other pairs, those whose parity signatures prove too many differences are no
+candidates; all others are looked at, and no cap is set.
 
 Null and empty texts have no words, an empty set and no links.  Rows that share a doc_id are one document with
 several sets; rows without a doc_id link with nothing and have a null component.  An empty table gives an empty result."""
@@ -34,6 +35,9 @@ from sluice.session import ship
 #: Cells of the frequency sketch: its size does not depend on the data.
 CELL_BITS = 22
 PART_BITS = 16
+#: 64-bit words of a set's parity signature.
+PARITY = 4
+SIGNS = [f"p{i}" for i in range(PARITY)]
 
 
 def shingle_sets(texts, n: int):
@@ -58,6 +62,15 @@ def shingle_sets(texts, n: int):
         yield first, np.bincount(of, minlength=len(counts)), mix
 
 
+def _parities(counts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """A row of ``PARITY`` words for each set: bit b tells whether an odd number of its tokens hash to b.  Two
+    sets differ in at least as many tokens as their signatures differ in bits."""
+    bits = 64 * PARITY
+    spot = np.repeat(np.arange(len(counts)), counts) * bits + (tokens % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(spot, minlength=len(counts) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(counts), PARITY)
+
+
 def _texts(batch):
     return (t.as_py() for t in batch["text"])
 
@@ -115,7 +128,7 @@ def _prefixes(n: int, percent: int, most: int, held):
     def batches(found):
         often = held.value
         for batch in found:
-            sizes, first_half, second_half, depth, lists = [], [], [], [], []
+            sizes, first_half, second_half, depth, lists, signs = [], [], [], [], [], [np.zeros((0, PARITY), np.int64)]
             for _, counts, tokens in shingle_sets(_texts(batch), n):
                 weight = often[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 of = np.repeat(np.arange(len(counts)), counts)
@@ -124,6 +137,7 @@ def _prefixes(n: int, percent: int, most: int, held):
                 marks = np.add.reduceat(np.append(np.stack([mixed(tokens), mixed(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5))]), np.zeros((2, 1), np.uint64), 1),
                                         np.cumsum(counts) - counts, axis=1)
                 marks[:, counts == 0] = 0
+                signs.append(_parities(counts, tokens))
                 at = 0
                 for i, size in enumerate(counts.tolist()):
                     base = size - lasting(size) + 1
@@ -143,8 +157,9 @@ def _prefixes(n: int, percent: int, most: int, held):
             signed = [np.array(x, np.uint64).view(np.int64) for x in (first_half, second_half)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(sizes, pa.int64()), *map(pa.array, signed), pa.array(depth, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64)))],
-                ["doc_id", "n", "s1", "s2", "l", "tokens"])
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64))),
+                 *map(pa.array, np.concatenate(signs).T.copy())],
+                ["doc_id", "n", "s1", "s2", "l", "tokens", *SIGNS])
 
     return batches
 
@@ -268,7 +283,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
     scratch = Scratch(spark, "ngram-join")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     held = spark.sparkContext.broadcast(frequencies(texts, n))
-    rows = scratch.keep(texts.mapInArrow(_prefixes(n, percent, most, held), "doc_id long, n long, s1 long, s2 long, l int, tokens array<long>"), "rows")
+    rows = scratch.keep(texts.mapInArrow(_prefixes(n, percent, most, held), "doc_id long, n long, s1 long, s2 long, l int, tokens array<long>, " + ", ".join(f"{p} long" for p in SIGNS)), "rows")
     linked = rows.where("n > 0 AND doc_id IS NOT NULL")
     same = scratch.keep(linked.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rid")), "same")
     reps = linked.join(same, ["n", "s1", "s2"]).where("doc_id = rid").select("rid", "n", "l", "tokens")
@@ -294,13 +309,20 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
     # Pairs across components: a token's postings outside its largest component against all of them.
     by_part = posts.groupBy("token", "c").agg(F.count("*").alias("m"))
     main = by_part.groupBy("token").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    across = scratch.keep(posts.join(main, "token"), "across")
-    outside = across.where("c != main").select("token", *(F.col(k).alias(f"x_{k}") for k in ("rid", "n", "l", "level", "c")))
-    inside = across.select("token", "main", *(F.col(k).alias(f"y_{k}") for k in ("rid", "n", "l", "level", "c")))
+    signs = linked.join(same, ["n", "s1", "s2"]).where("doc_id = rid").select("rid", *SIGNS).distinct()
+    across = scratch.keep(posts.join(main, "token").join(signs, "rid"), "across")
+    scratch.drop("posts")
+    sides = ("rid", "n", "l", "level", "c", *SIGNS)
+    outside = across.where("c != main").select("token", *(F.col(k).alias(f"x_{k}") for k in sides))
+    inside = across.select("token", "main", *(F.col(k).alias(f"y_{k}") for k in sides))
     asked = F.least("x_l", "y_l")
+    # What two sets have in common at most, by their signatures.
+    apart = F.expr(" + ".join(f"bit_count(x_{p} ^ y_{p})" for p in SIGNS))
+    together = F.shiftright(F.col("x_n") + F.col("y_n") - apart, 1)
     pairs = (outside.join(inside, "token")
              .where((F.col("x_c") != F.col("y_c")) & ((F.col("y_c") == F.col("main")) | (F.col("x_rid") < F.col("y_rid")))
                     & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+                    & (100 * together >= percent * (F.col("x_n") + F.col("y_n") - together))
                     & (F.col("x_level") <= asked) & (F.col("y_level") <= asked))
              .groupBy(F.least("x_rid", "y_rid").alias("x"), F.greatest("x_rid", "y_rid").alias("y"))
              .agg(F.count("*").alias("m"), F.min(asked).alias("asked")).where("m >= asked").select("x", "y"))
