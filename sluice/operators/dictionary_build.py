@@ -399,10 +399,10 @@ def user_dictionary(variables: DataFrame, order: DataFrame, maps: DataFrame) ->
 
 
 def master_rows(user_rows: DataFrame, dataset_order: Sequence[str]) -> DataFrame:
-    """First row of each variable name over the datasets in the given order."""
-    place = F.array_position(F.array(*[F.lit(d) for d in dataset_order]), F.col("dataset"))
+    """First row of each variable name over the datasets in the given order; other datasets come last."""
+    place = F.nullif(F.array_position(F.array(*[F.lit(d) for d in dataset_order]), F.col("dataset")), F.lit(0))
     return first_row(user_rows, ["country", "variable_name"],
-                     [place.asc(), F.col("screen_idx"), F.col("field_idx"), F.col("question_key")])
+                     [place.asc_nulls_last(), F.col("screen_idx"), F.col("field_idx"), F.col("question_key")])
 
 
 def carry_over(base: DataFrame, enriched: DataFrame, columns: Sequence[str], base_time: float,
