@@ -10,8 +10,8 @@ document takes the l for which the estimated postings it scans plus the candidat
 is a candidate when it shares as many prefix tokens as the smaller l of the two asks for.
 
 Equal sets are one set.  Before the join, every frequent token links the documents of small random buckets to one of them, where
-they verify; the components of these links leave only pairs across components to the join, so that a large group of copies
-costs its rows, not its pairs.  Of the other pairs, those whose parity signatures prove too many differences are no
+they verify, and again in a few rounds to documents of the components found; this leaves only pairs across components to
+the join, so that a large group of copies costs its rows, not its pairs.  Of the other pairs, those whose parity signatures prove too many differences are no
 candidates; all others are looked at, and no cap is set.
 
 Null and empty texts have no words, an empty set and no links.  Rows that share a doc_id are one document with
@@ -272,12 +272,53 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int, scratch:
     return links
 
 
-def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int = 4, frequent: int = 16, bucket: int = 16, tries: int = 4) -> DataFrame:
+def _parted(often: DataFrame, joined: DataFrame | None) -> tuple[DataFrame, int]:
+    """Postings of tokens that are not yet within one component, with the component c of each and the largest
+    one of its token; and how many pairs a join across components would look at."""
+    found = often.withColumn("c", F.col("rid")) if joined is None else (
+        often.join(joined.toDF("rid", "c"), "rid", "left").withColumn("c", F.coalesce("c", "rid")))
+    main = (found.groupBy("token", "c").agg(F.count("*").alias("m"), F.max("df").alias("size"))
+            .groupBy("token").agg(F.max_by("c", F.struct("m", "c")).alias("main"), (F.max("size") - F.max("m")).alias("out"), F.max("size").alias("size")))
+    left = main.agg(F.sum(F.col("out") * F.col("size"))).first()[0]
+    return found.join(main.where("out > 0").select("token", "main"), "token"), left or 0
+
+
+def _alike(percent: int):
+    """Whether sizes and signatures of x and y allow the similarity."""
+    apart = F.expr(" + ".join(f"bit_count(x_{p} ^ y_{p})" for p in SIGNS))
+    # What two sets have in common at most.
+    together = F.shiftright(F.col("x_n") + F.col("y_n") - apart, 1)
+    return ((100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+            & (100 * together >= percent * (F.col("x_n") + F.col("y_n") - together)))
+
+
+def _met(hot: DataFrame, percent: int, bucket: int, heads: int, tries: int, turn: int) -> DataFrame:
+    """Pairs (x, y) of a few documents per bucket, of the token's largest component where there are some, with
+    the others of the bucket."""
+    seed = F.lit(turn)
+    # Documents of a group prefer the same tokens, so a few of each are enough to meet.
+    few = Window.partitionBy("rid").orderBy(F.xxhash64("token", seed))
+    spot = F.pmod(F.xxhash64("rid", "token", seed), F.ceil(F.col("df") / bucket))
+    first = Window.partitionBy("token", "b").orderBy(F.col("c") != F.col("main"), F.xxhash64("token", "rid", seed))
+    hot = (hot.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= tries)
+           .withColumn("b", spot).withColumn("place", F.row_number().over(first)))
+    x, y = ([F.col(k).alias(f"{side}_{k}") for k in ("rid", "n", "c", *SIGNS)] for side in "xy")
+    return (hot.where(F.col("place") <= heads).select("token", "b", *x).join(hot.select("token", "b", *y), ["token", "b"])
+            .where((F.col("x_c") != F.col("y_c")) & _alike(percent))
+            .select(F.least("x_rid", "y_rid").alias("x"), F.greatest("x_rid", "y_rid").alias("y")).distinct())
+
+
+def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int = 4, frequent: int = 16, bucket: int = 16, tries: int = 4,
+                    rounds: int = 3, rest: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.  ``most`` is the largest number of
     matches a document may ask for, ``frequent`` the posting length from which buckets of about ``bucket``
-    documents are linked beforehand, each document in up to ``tries`` of them."""
+    documents are linked beforehand, each document in up to ``tries`` of them a round; rounds after the first take
+    larger buckets and compare with several documents of each.  Rounds end after
+    ``rounds`` or when at most ``rest`` pairs a posting remain; the join after them looks at whatever remains."""
     if not 0 < Fraction(percent, 100) <= 1:
         raise ValueError("percent must be above 0 and at most 100")
+    if rounds < 1:
+        raise ValueError("rounds must be at least 1")
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "ngram-join")
@@ -293,39 +334,41 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
     shared = posts.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     posts = scratch.keep(posts.join(shared, "token"), "posts")
 
-    # Buckets of frequent tokens.
-    spot = F.pmod(F.xxhash64("rid", "token"), F.ceil(F.col("df") / bucket))
-    # Documents of a group prefer the same tokens, so a few of each are enough to meet.
-    few = Window.partitionBy("rid").orderBy(F.xxhash64("token"))
-    hot = (posts.where(F.col("df") > frequent).select("token", "rid", "df").withColumn("turn", F.row_number().over(few)).where(F.col("turn") <= tries)
-           .withColumn("b", spot))
-    heads = hot.groupBy("token", "b").agg(F.min_by("rid", F.xxhash64("token", "rid")).alias("x"))
-    first = hot.join(heads, ["token", "b"]).where("x != rid").select(F.least("x", "rid").alias("x"), F.greatest("x", "rid").alias("y")).distinct()
-    first = _bounded(first, rows, percent, held, scratch, "first-pairs")
-    links = _verified(first, texts, n, percent, scratch, "first-links")
-    joined = components(links.select(F.col("x").alias("src"), F.col("y").alias("dst")), "ngram-first")
+    # Buckets of frequent tokens, in rounds: each joins more documents to the largest component of their tokens.
+    signs = linked.join(same, ["n", "s1", "s2"]).where("doc_id = rid").select("rid", *SIGNS).distinct()
+    often = scratch.keep(posts.where(F.col("df") > frequent).select("token", "rid", "n", "df").join(signs, "rid"), "frequent")
+    links, joined, postings = None, None, posts.count()
+    for turn in range(rounds):
+        hot, left = _parted(often, joined)
+        if turn and left <= rest * postings:
+            break
+        wide, heads = (4 * bucket, max(1, bucket // 2)) if turn else (bucket, 1)
+        met = scratch.keep(_met(hot, percent, wide, heads, tries, turn), f"met{turn}")
+        met = _bounded(met, rows, percent, held, scratch, f"first-pairs{turn}")
+        new = _verified(met, texts, n, percent, scratch, f"first-links{turn}")
+        links = new if links is None else links.union(new)
+        if new.isEmpty():
+            break
+        joined = components(links.select(F.col("x").alias("src"), F.col("y").alias("dst")), "ngram-first")
+    if joined is None:
+        joined = links.toDF("id", "component")
     posts = posts.join(joined.toDF("rid", "c"), "rid", "left").withColumn("c", F.coalesce("c", "rid"))
 
     # Pairs across components: a token's postings outside its largest component against all of them.
     by_part = posts.groupBy("token", "c").agg(F.count("*").alias("m"))
     main = by_part.groupBy("token").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    signs = linked.join(same, ["n", "s1", "s2"]).where("doc_id = rid").select("rid", *SIGNS).distinct()
     across = scratch.keep(posts.join(main, "token").join(signs, "rid"), "across")
     scratch.drop("posts")
     sides = ("rid", "n", "l", "level", "c", *SIGNS)
     outside = across.where("c != main").select("token", *(F.col(k).alias(f"x_{k}") for k in sides))
     inside = across.select("token", "main", *(F.col(k).alias(f"y_{k}") for k in sides))
     asked = F.least("x_l", "y_l")
-    # What two sets have in common at most, by their signatures.
-    apart = F.expr(" + ".join(f"bit_count(x_{p} ^ y_{p})" for p in SIGNS))
-    together = F.shiftright(F.col("x_n") + F.col("y_n") - apart, 1)
     pairs = (outside.join(inside, "token")
-             .where((F.col("x_c") != F.col("y_c")) & ((F.col("y_c") == F.col("main")) | (F.col("x_rid") < F.col("y_rid")))
-                    & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
-                    & (100 * together >= percent * (F.col("x_n") + F.col("y_n") - together))
+             .where((F.col("x_c") != F.col("y_c")) & ((F.col("y_c") == F.col("main")) | (F.col("x_rid") < F.col("y_rid"))) & _alike(percent)
                     & (F.col("x_level") <= asked) & (F.col("y_level") <= asked))
              .groupBy(F.least("x_rid", "y_rid").alias("x"), F.greatest("x_rid", "y_rid").alias("y"))
              .agg(F.count("*").alias("m"), F.min(asked).alias("asked")).where("m >= asked").select("x", "y"))
+    pairs = scratch.keep(pairs, "candidates")
     pairs = _bounded(pairs, rows, percent, held, scratch, "pairs")
     more = _verified(pairs, texts, n, percent, scratch, "links")
     edges = links.union(more)
