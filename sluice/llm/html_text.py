@@ -1,11 +1,14 @@
 """Main text of web pages by removing site templates.
 
-Every element outside a page's article is hashed with its whole subtree (tag, class, id, texts and children); Spark
-counts for each host on how many of its pages a hash stands, and subtrees that recur on many of them are
-deleted.  What marks itself as a menu, header, footer, sidebar, notice, advert, form, comment or script, by
-its tag, role, class or id, goes as well.  A page with an article (or else a main element) yields just
-that; its own text is never deleted for recurring, because copies of an article recur too.  A page without
-one yields what the deletions leave of its body.
+Every element is hashed with its whole subtree (tag, class, id, texts and children), inside articles too; Spark
+counts for each host in how many different bodies a hash stands, and subtrees that recur in many of them are
+deleted on every page.  Copies of an article are one body, so its own text does not recur by being copied; copies that
+differ are different bodies, and a paragraph that many articles of a host repeat is deleted like a notice.  What marks
+itself as a menu, header, footer, sidebar, notice, advert, form, comment or script, by its tag, role, class or id, goes
+as well.  Words that recur within a running text stay, and in articles a table's cells go with their row only.
+
+A page with an article (or else a main element) yields just that; a page without one yields what the
+deletions leave of its body.
 
 Character references are decoded, white space inside a block becomes one space, and blocks are joined in page
 order by a line feed; headings, paragraphs, list items, cells and line breaks bound blocks.  Unclosed elements end
@@ -23,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.scratch import Scratch
 from sluice.session import ship
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -41,6 +45,7 @@ ENDS_P = BLOCK - {"br", "body", "html", "caption", "option", "optgroup", "legend
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
+CELLS = frozenset(("td", "th"))
 DROPPED = frozenset("head nav footer aside form script style noscript template iframe svg button select dialog menu object canvas textarea title xmp noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Words of a class or id that name what is not the article.
@@ -51,23 +56,28 @@ share sharing sidebar signup skip social sponsor sponsored subscribe subscriptio
 SITE_NAMES = frozenset("footer header masthead top bottom".split())
 
 
+def _hash(data: bytes) -> int:
+    return struct.unpack("<q", hashlib.blake2b(data, digest_size=8).digest())[0]
+
+
 class _Element:
-    __slots__ = ("tag", "dropped", "inside", "parts", "chain")
+    __slots__ = ("tag", "dropped", "article", "main", "parts", "id")
 
-    def __init__(self, tag, dropped, inside, parts, chain):
-        self.tag, self.dropped, self.inside, self.parts, self.chain = tag, dropped, inside, parts, chain
+    def __init__(self, tag, dropped, article, main, parts, id):
+        self.tag, self.dropped, self.article, self.main, self.parts, self.id = tag, dropped, article, main, parts, id
 
 
 class Page:
-    """One pass over the tags of a page.  ``blocks`` are (text, in the article, ancestors); ``hashes`` holds the
-    subtree hash of each closed element outside the article."""
+    """One pass over the tags of a page.  ``blocks`` are (text, outermost article or 0, in a main element, elements that
+    hold its words); ``parents`` and ``hashes`` (of the subtree) are those of each element, of which 0 is the page."""
 
     def __init__(self, source: str | None):
-        self.blocks: list[tuple[str, bool, tuple]] = []
-        self.hashes: dict[int, int] = {}
+        self.blocks: list[tuple[str, int, bool, list[int]]] = []
+        self.parents: list[int] = [0]
+        self.hashes: list[int | None] = [None]
         self.text: list[str] = []
+        self.holders: list[int] = []
         self.open: list[_Element] = []
-        self.ids = 0
         source = source or ""
         low = source.lower() if len(source.lower()) == len(source) else source
         self.main = "article" if re.search(r"<article[\s>/]", low) else "main" if re.search(r"<main[\s>/]", low) else None
@@ -97,18 +107,21 @@ class Page:
         if not text:
             return
         here = self.open[-1] if self.open else None
-        if here and here.parts is not None:
-            here.parts.append(text.strip())
+        words = text.strip()
+        if here:
+            here.parts.append(words)
         if not (here and here.dropped):
             self.text.append(text)
+            if words:
+                self.holders.append(here.id if here else 0)
 
     def _flush(self) -> None:
         if self.text:
             block = " ".join(html.unescape("".join(self.text)).split())
-            self.text = []
             if block:
                 here = self.open[-1] if self.open else None
-                self.blocks.append((block, bool(here and here.inside), here.chain if here else ()))
+                self.blocks.append((block, here.article if here else 0, bool(here and here.main), self.holders))
+            self.text, self.holders = [], []
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in ENDS:
@@ -121,7 +134,10 @@ class Page:
         if tag in EMPTY:
             return
         above = self.open[-1] if self.open else None
-        inside = bool(above and above.inside) or tag == self.main
+        number = len(self.parents)
+        article = (above.article if above else 0) or (number if tag == "article" else 0)
+        main = bool(above and above.main) or tag == "main"
+        inside = bool(article or main)
         names, role, hidden = set(), "", False
         marks = ""
         if attributes.strip():
@@ -135,17 +151,14 @@ class Page:
                 elif name == "role":
                     role = value.strip("\"'").lower()
         dropped = (bool(above and above.dropped) or tag in DROPPED or hidden or role in ROLES or not names.isdisjoint(NAMES)
-                   or (not inside and (tag == "header" or not names.isdisjoint(SITE_NAMES)))) and tag not in ("html", "body", self.main)
+                   or (not inside and (tag == "header" or not names.isdisjoint(SITE_NAMES)))) and tag not in ("html", "body", "article", "main")
         if above and above.dropped:
             dropped = True
-        chain = above.chain if above else ()
-        parts = None
-        if not inside:
-            self.ids += 1
-            parts, chain = [tag, marks], (*chain, self.ids)
+        self.parents.append(above.id if above else 0)
+        self.hashes.append(None)
         if dropped != bool(above and above.dropped):
             self._flush()
-        self.open.append(_Element(tag, dropped, inside, parts, chain))
+        self.open.append(_Element(tag, dropped, article, main, [tag, marks], number))
 
     def _end(self, tags, limit) -> None:
         """Ends the innermost open element of ``tags``, if no element of ``limit`` is further in."""
@@ -170,22 +183,25 @@ class Page:
         if element.tag in BLOCK or element.dropped != bool(above and above.dropped):
             self._flush()
         self.open.pop()
-        if element.parts is not None:
-            digest = hashlib.blake2b("\x1f".join(element.parts).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            self.hashes[element.chain[-1]] = struct.unpack("<q", digest)[0]
-            if above and above.parts is not None:
-                above.parts.append(digest.hex())
+        digest = _hash("\x1f".join(element.parts).encode("utf-8", "surrogatepass"))
+        if not (element.article and element.tag in CELLS):
+            self.hashes[element.id] = digest
+        if above:
+            above.parts.append(str(digest))
         return element.tag
 
+    def body(self) -> int:
+        """Hash of the text before any deletion for recurring."""
+        return _hash(self.main_text().encode("utf-8", "surrogatepass"))
+
     def main_text(self, recurring=frozenset()) -> str:
-        kept = []
-        for text, inside, chain in self.blocks:
-            if self.main:
-                if inside:
-                    kept.append(text)
-            elif not any(self.hashes.get(i) in recurring for i in chain):
-                kept.append(text)
-        return "\n".join(kept)
+        gone = [False]
+        for parent, own in zip(self.parents[1:], self.hashes[1:]):
+            gone.append(gone[parent] or own in recurring)
+        kept = [block for block in self.blocks if not all(gone[i] for i in block[3])]
+        if self.main:
+            kept = [block for block in kept if (block[1] if self.main == "article" else block[2])]
+        return "\n".join(block[0] for block in kept)
 
 
 def host(url):
@@ -194,36 +210,38 @@ def host(url):
 
 
 def recurring(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """(host, hashes): subtrees that stand on at least ``min_pages`` pages of the host and on ``min_share`` of
+    """(host, hashes): subtrees that stand in at least ``min_pages`` different bodies of the host and in ``min_share`` of
     them.  A page has few elements, so a host has at most that many divided by the share."""
     ship(pages.sparkSession)
+    scratch = Scratch(pages.sparkSession, "html-text")
     rows = pages.select(host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).where("host IS NOT NULL")
 
     def batches(found):
         for batch in found:
-            hosts, hashes = [], []
+            hosts, hashes, bodies = [], [], []
             for site, source in zip(batch["host"], batch["html"]):
                 page = Page(source.as_py())
-                own = set(page.hashes.values())
+                # The null hash stands on every page, and counts the bodies of the host.
+                own = {None, *page.hashes}
                 hosts += [site.as_py()] * len(own)
                 hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["host", "hash"])
+                bodies += [page.body()] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(bodies, pa.int64())], ["host", "hash", "body"])
 
-    counts = rows.mapInArrow(batches, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    sites = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    return (counts.join(sites, "host").where(F.col("n") >= F.col("pages") * min_share)
-            .groupBy("host").agg(F.collect_set("hash").alias("hashes")))
+    counts = (rows.mapInArrow(batches, "host string, hash long, body long").distinct()
+              .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
+    counts = scratch.keep(counts, "counts")
+    sites = counts.where("hash IS NULL").select("host", F.col("n").alias("bodies"))
+    return scratch.keep(counts.where("hash IS NOT NULL").join(sites, "host").where(F.col("n") >= F.col("bodies") * min_share)
+                        .groupBy("host").agg(F.collect_set("hash").alias("hashes")), "recurring")
 
 
 def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """(page_id, url, text, n_chars) for every row.  Pages with an article need no template of their site and
-    are read in place; the others meet the templates in a join on the host."""
+    """(page_id, url, text, n_chars) for every row; pages meet the templates of their site in a join on the host."""
     ship(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    has_main = F.coalesce(F.col("html").rlike(r"(?i)<(article|main)[\s>/]"), F.lit(False))
     sites = recurring(pages, min_pages, min_share)
-    plain = rows.where(~has_main).withColumn("host", host(F.col("url"))).join(sites, "host", "left").select("page_id", "url", "html", "hashes")
-    marked = rows.where(has_main).withColumn("hashes", F.lit(None).cast("array<long>"))
+    rows = rows.withColumn("host", host(F.col("url"))).join(sites, "host", "left").select("page_id", "url", "html", "hashes")
 
     def batches(found):
         for batch in found:
@@ -232,4 +250,4 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> Dat
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    return marked.unionByName(plain).mapInArrow(batches, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(batches, "page_id long, url string, text string, n_chars long")

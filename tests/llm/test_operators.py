@@ -155,6 +155,20 @@ def test_html(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
 
 
+def test_html_recurring_in_articles(spark):
+    box = "<div class='x'><p>Write to us, dear reader.</p><span>Print</span></div>"
+    row = "<tr><td>n</td><td>0</td></tr>"
+    pages = [(i, f"http://site.org/{i}", f"<main><article><p>text {i} <b>of</b> it</p>{box}<table><tr><td>{i}</td><td>0</td></tr>{row}</table></article></main>")
+             for i in range(6)]
+    pages += [(6 + i, f"http://copies.org/{i}", f"<div>ad {i}</div><article><p>copied</p><p>text</p></article>") for i in range(9)]
+    pages += [(15 + i, f"http://copies.org/b{i}", f"<article><p>other {i}</p></article>") for i in range(3)]
+    pages += [(18, "http://other.org/", f"<article><p>text</p>{box}</article>"), (19, None, f"<article>{box}</article>")]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"text {i} of it\n{i}\n0" for i in range(6))
+    assert all(got[i] == "copied\ntext" for i in range(6, 15)) and got[16] == "other 1"
+    assert got[18] == "text\nWrite to us, dear reader.\nPrint" and got[19] == "Write to us, dear reader.\nPrint"
+
+
 @pytest.mark.parametrize("n,percent", [(4, 85), (5, 80)])
 def test_ngram_join(spark, n, percent):
     draw = random.Random(6)
