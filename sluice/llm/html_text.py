@@ -7,8 +7,9 @@ differ are different bodies, and a paragraph that many articles of a host repeat
 itself as a menu, header, footer, sidebar, notice, advert, form, comment or script, by its tag, role, class or id, goes
 as well.  Words that recur within a running text stay, and in articles a table's cells go with their row only.
 
-A page with an article (or else a main element) yields just that; a page without one yields what the
-deletions leave of its body.
+A page whose articles have text left yields them, unless its main element has more text of its own than the
+longest article has: then, or without such an article, it yields the main element, and without text there
+what the deletions leave of its body.
 
 Character references are decoded, white space inside a block becomes one space, and blocks are joined in page
 order by a line feed; headings, paragraphs, list items, cells and line breaks bound blocks.  Unclosed elements end
@@ -79,8 +80,6 @@ class Page:
         self.holders: list[int] = []
         self.open: list[_Element] = []
         source = source or ""
-        low = source.lower() if len(source.lower()) == len(source) else source
-        self.main = "article" if re.search(r"<article[\s>/]", low) else "main" if re.search(r"<main[\s>/]", low) else None
         at = 0
         while True:
             found = TAG.search(source, at)
@@ -199,8 +198,17 @@ class Page:
         for parent, own in zip(self.parents[1:], self.hashes[1:]):
             gone.append(gone[parent] or own in recurring)
         kept = [block for block in self.blocks if not all(gone[i] for i in block[3])]
-        if self.main:
-            kept = [block for block in kept if (block[1] if self.main == "article" else block[2])]
+        articles: dict[int, int] = {}
+        own = 0
+        for text, article, main, _ in kept:
+            if article:
+                articles[article] = articles.get(article, 0) + len(text)
+            elif main:
+                own += len(text)
+        if articles and max(articles.values()) >= own:
+            kept = [block for block in kept if block[1]]
+        elif own:
+            kept = [block for block in kept if block[2]]
         return "\n".join(block[0] for block in kept)
 
 

@@ -169,6 +169,20 @@ def test_html_recurring_in_articles(spark):
     assert got[18] == "text\nWrite to us, dear reader.\nPrint" and got[19] == "Write to us, dear reader.\nPrint"
 
 
+@pytest.mark.parametrize("source,text", [
+    ("<body><!-- <article> --><p>a</p></body>", "a"),
+    ("<body><script>x = '<article>'</script><p>a</p></body>", "a"),
+    ("<body><div data-x='<main>'>a</div></body>", "a"),
+    ("<main><p>the whole text of it</p></main><article><p>card 1</p></article><article><p>card 2</p></article>", "the whole text of it"),
+    ("<main><h1>H</h1><article><p>the whole text of it</p></article><p>more</p></main>", "the whole text of it"),
+    ("<main><article> </article><p>a</p></main><p>b</p>", "a"),
+    ("<main><nav>n</nav></main><p>b</p>", "b"),
+    ("<aside><article>card</article></aside><div>b</div>", "b"),
+    ("<p>b</p><article><p>a</p></article>", "a")])
+def test_html_main_part(source, text):
+    assert html_text.Page(source).main_text() == text
+
+
 @pytest.mark.parametrize("n,percent", [(4, 85), (5, 80)])
 def test_ngram_join(spark, n, percent):
     draw = random.Random(6)
