@@ -273,3 +273,31 @@ def test_surrogates(spark):
     assert names[0][1] == names[1][1] and names[0][0].endswith("a") and not names[1][0].endswith("a")
     assert re.search(r"г-н [А-Я][а-я]+ [А-Я][а-я]+", rows[2].text)
     assert surrogates.replaced(empty(spark), "key").isEmpty()
+
+
+def test_surrogates_further_forms(spark):
+    hidden = ["(319) 555-5132", "319-555-5132", "030/1234567", "0049 30 1234567", "2001:0db8:85a3::8a2e:0370:7334", "fe80::1ff:fe23:4567:890a",
+              "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "3782 822463 10005"]
+    left = ["on 01/02/2020 or 01-02-2020 at 12:30", "std::abc a::b 10:20:30", "pages 100-200, ISBN 978-3", "1,234 of 10 000 000", "A (2020) 15 and x(12)"]
+    names = ["Mrs Anna Weber came. Weber said: Anna's dog, Weberin. weber", "Mr John Paul Smith, then Paul and Smith's; Prof. Dr. Anna Weber",
+             "Weber and Smith", "Dr O'Brien met Mr John F. Kennedy. O'Brien left."]
+    texts = [f"see {h}, end" for h in hidden] + left + names
+    rows = {r.doc_id: r for r in surrogates.replaced(documents(spark, texts), "key").collect()}
+    n = len(hidden)
+    for i, h in enumerate(hidden):
+        new = rows[i].text[4:-5]
+        assert rows[i].n_entities == 1 and rows[i].text == f"see {new}, end" and new != h
+        assert re.sub("[0-9a-fA-F]", "x", new) == re.sub("[0-9a-fA-F]", "x", h) or i == 7
+    for i in (6, 7):
+        account = rows[i].text[4:-5].replace(" ", "")
+        assert account[:2] == texts[i][4:6] and int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1
+    digits = [int(c) for c in rows[8].text if c.isdigit()][::-1]
+    assert (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+    assert rows[3].text.startswith("see 00")
+    assert [rows[n + i].text for i in range(5)] == left
+    one = re.fullmatch(r"Mrs (\w+) (\w+) came\. (\w+) said: (\w+)'s dog, Weberin\. weber", rows[n + 5].text)
+    assert one and one[1] == one[4] and one[2] == one[3] and "Weber" not in one.groups() and rows[n + 5].n_entities == 4
+    two = re.fullmatch(r"Mr (\w+) (\w+) (\w+), then (\w+) and (\w+)'s; Prof\. Dr\. (\w+) (\w+)", rows[n + 6].text)
+    assert two and two[2] == two[4] and two[3] == two[5] and two.groups()[5:] == one.groups()[:2]
+    assert not {"John", "Paul", "Smith"} & set(two.groups()) and rows[n + 7].text == "Weber and Smith"
+    assert not re.search("Brien|John|Kennedy", rows[n + 8].text) and rows[n + 8].n_entities == 4
