@@ -141,6 +141,21 @@ def test_embeddings(spark, block):
     assert embeddings.near_duplicates(frame.limit(0)).isEmpty()
 
 
+def test_embeddings_recall_at_default_parameters(spark):
+    draw = np.random.default_rng(9)
+    base = draw.standard_normal((1500, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    other = draw.standard_normal((1500, 64))
+    other -= (other * base).sum(1, keepdims=True) * base
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = draw.uniform(0.9, 0.96, (1500, 1))
+    unit = np.concatenate([base, cosine * base + np.sqrt(1 - cosine ** 2) * other])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "vec_id long, embedding array<double>")
+    links = (unit @ unit.T >= 0.9).sum() - len(unit)
+    found = sum(r.n_links for r in embeddings.near_duplicates(frame).collect())
+    assert links >= 2900 and 0.97 * links <= found <= links
+
+
 def test_html(spark):
     menu = "<div class='x'><b>home</b> <i>about</i></div>"
     pages = [(i, f"http://site.org/{i}", f"<body>{menu}<p>text {i} &amp; more<p>two {i}</body>") for i in range(8)]
