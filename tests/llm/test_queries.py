@@ -10,13 +10,14 @@ from sluice.llm.queries import ORACLES, QUERIES
 def test_registered():
     found = entry.queries()
     assert set(QUERIES) <= set(found) and "pipeline" in found
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "conversations", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     rel = con.sql(ORACLES[name])
     got = QUERIES[name](spark, sf_dir)
     assert sorted(got.columns) == sorted(rel.columns)
