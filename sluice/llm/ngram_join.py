@@ -7,7 +7,9 @@ by 64-bit hashes.
 Tokens are ordered by an estimate of their frequency over all documents, rare ones first.  Sets that overlap
 enough share a token within their first n - ceil(t * n) + 1 tokens, and share l tokens within l - 1 more.  Each
 document takes the l for which the estimated postings it scans plus the candidates it verifies cost least, and a pair
-is a candidate when it shares as many prefix tokens as the smaller l of the two asks for.
+is a candidate when it shares as many prefix tokens as the smaller l of the two asks for.  The sizes of a pair say how large
+its overlap must be, so that its prefixes are shorter than those of one document alone: a posting at place p only
+meets partners up to a size that follows from p.  Postings of frequent tokens are joined by bands of such sizes as well.
 
 Equal sets are one set.  Before the join, every frequent token links the documents of small random buckets to one of them, where
 they verify, and again in a few rounds to documents of the components found; this leaves only pairs across components to
@@ -19,12 +21,14 @@ several sets; rows without a doc_id link with nothing and have a null component.
 
 from __future__ import annotations
 
+import math
 import zlib
 from fractions import Fraction
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.graph import components
@@ -35,6 +39,8 @@ from sluice.session import ship
 #: Cells of the frequency sketch: its size does not depend on the data.
 CELL_BITS = 22
 PART_BITS = 16
+#: Bytes of text a Python worker turns into n-grams, and hands on, at a time; a longer text is one group.
+GROUP = 1 << 18
 #: 64-bit words of a set's parity signature.
 PARITY = 4
 SIGNS = [f"p{i}" for i in range(PARITY)]
@@ -43,7 +49,7 @@ SIGNS = [f"p{i}" for i in range(PARITY)]
 def shingle_sets(texts, n: int):
     """For groups of texts: (first index, sizes of their sets, the sets one after another, each sorted)."""
     turn = [mixed(np.array([i + 1], np.uint64))[0] | np.uint64(1) for i in range(n)]
-    for first, counts, hashes, _ in words(texts, NOT_SPACE):
+    for first, counts, hashes, _ in words(texts, NOT_SPACE, size=GROUP):
         grams = np.maximum(counts - n + 1, (counts > 0).astype(counts.dtype))
         ends = np.cumsum(counts)
         of = np.repeat(np.arange(len(counts)), grams)
@@ -78,19 +84,24 @@ def _texts(batch):
 def _sketch(n: int):
     """Per task, how often tokens fall into each cell, in compressed parts."""
     def batches(found):
-        cells = np.zeros(1 << CELL_BITS, np.int64)
+        cells = np.zeros(1 << CELL_BITS, np.uint32)
         waiting, held = [], 0
+
+        def settle():
+            at, often = np.unique(np.concatenate(waiting), return_counts=True)
+            cells[at] += often.astype(np.uint32)
+
         for batch in found:
             for _, _, tokens in shingle_sets(_texts(batch), n):
                 waiting.append((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int32))
                 held += len(tokens)
-                if held > len(cells):
-                    cells += np.bincount(np.concatenate(waiting), minlength=len(cells))
+                if held > 1 << 20:
+                    settle()
                     waiting, held = [], 0
         if waiting:
-            cells += np.bincount(np.concatenate(waiting), minlength=len(cells))
-        parts = [p.tobytes() for p in cells.reshape(-1, 1 << PART_BITS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([zlib.compress(p, 1) for p in parts], pa.binary())], ["part", "cells"])
+            settle()
+        parts = [zlib.compress(p.astype(np.int64).tobytes(), 1) for p in cells.reshape(-1, 1 << PART_BITS)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["part", "cells"])
 
     return batches
 
@@ -120,6 +131,11 @@ def frequencies(texts: DataFrame, n: int) -> np.ndarray:
     return np.clip(cells - noise, 0, 2**30).astype(np.int32) + np.int32(1)
 
 
+def _listed_arrays(lists: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64)))
+
+
 def _prefixes(n: int, percent: int, most: int, held):
     def lasting(size: int) -> int:
         """Tokens that an overlap must leave: ceil(percent / 100 * size)."""
@@ -128,8 +144,8 @@ def _prefixes(n: int, percent: int, most: int, held):
     def batches(found):
         often = held.value
         for batch in found:
-            sizes, first_half, second_half, depth, lists, signs = [], [], [], [], [], [np.zeros((0, PARITY), np.int64)]
-            for _, counts, tokens in shingle_sets(_texts(batch), n):
+            for first, counts, tokens in shingle_sets(_texts(batch), n):
+                sizes, depth, lists = [], [], []
                 weight = often[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 of = np.repeat(np.arange(len(counts)), counts)
                 order = np.lexsort((tokens, weight, of))
@@ -137,7 +153,6 @@ def _prefixes(n: int, percent: int, most: int, held):
                 marks = np.add.reduceat(np.append(np.stack([mixed(tokens), mixed(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5))]), np.zeros((2, 1), np.uint64), 1),
                                         np.cumsum(counts) - counts, axis=1)
                 marks[:, counts == 0] = 0
-                signs.append(_parities(counts, tokens))
                 at = 0
                 for i, size in enumerate(counts.tolist()):
                     base = size - lasting(size) + 1
@@ -149,17 +164,12 @@ def _prefixes(n: int, percent: int, most: int, held):
                         chosen = int(np.argmin(cost)) + 1 if cost else 1
                     sizes.append(size)
                     depth.append(chosen)
-                    first_half.append(int(marks[0, i]))
-                    second_half.append(int(marks[1, i]))
                     lists.append(ranked[at:at + (base + chosen - 1 if size else 0)].view(np.int64))
                     at += size
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
-            signed = [np.array(x, np.uint64).view(np.int64) for x in (first_half, second_half)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), *map(pa.array, signed), pa.array(depth, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64))),
-                 *map(pa.array, np.concatenate(signs).T.copy())],
-                ["doc_id", "n", "s1", "s2", "l", "tokens", *SIGNS])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(first, len(sizes)), pa.array(sizes, pa.int64()), *map(pa.array, marks[:, :len(sizes)].view(np.int64)),
+                     pa.array(depth, pa.int32()), _listed_arrays(lists), *map(pa.array, _parities(counts, tokens).T.copy())],
+                    ["doc_id", "n", "s1", "s2", "l", "tokens", *SIGNS])
 
     return batches
 
@@ -170,13 +180,9 @@ def _wanted(n: int, held):
         bits = held.value
         for batch in found:
             batch = batch.filter(pa.array(_in_bitmap(bits, batch["doc_id"].to_numpy())))
-            lists = []
-            for _, counts, tokens in shingle_sets(_texts(batch), n):
-                lists += np.split(tokens.view(np.int64), np.cumsum(counts)[:-1])
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64)))],
-                ["doc_id", "grams"])
+            for first, counts, tokens in shingle_sets(_texts(batch), n):
+                lists = np.split(tokens.view(np.int64), np.cumsum(counts)[:-1])
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(counts)), _listed_arrays(lists)], ["doc_id", "grams"])
 
     return batches
 
@@ -283,6 +289,21 @@ def _parted(often: DataFrame, joined: DataFrame | None) -> tuple[DataFrame, int]
     return found.join(main.where("out > 0").select("token", "main"), "token"), left or 0
 
 
+#: Ratio of the sizes in which a band begins and ends.
+BAND = 1.08
+
+
+def _band(size) -> Column:
+    return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.lit(math.log(BAND)))
+
+
+def _partners(percent: int) -> tuple[Column, Column]:
+    """Least and largest size of a document that a posting (n, l, p) may meet: size m asks for an overlap of
+    percent * (n + m) / (100 + percent), of which at most n - p + l can be left from place p on."""
+    least = F.expr(f"({percent} * n + 99) div 100")
+    return least, F.least(F.expr(f"100 * n div {percent}"), F.expr(f"(n - p + l) * {100 + percent} div {percent} - n"))
+
+
 def _alike(percent: int):
     """Whether sizes and signatures of x and y allow the similarity."""
     apart = F.expr(" + ".join(f"bit_count(x_{p} ^ y_{p})" for p in SIGNS))
@@ -309,16 +330,16 @@ def _met(hot: DataFrame, percent: int, bucket: int, heads: int, tries: int, turn
 
 
 def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int = 4, frequent: int = 16, bucket: int = 16, tries: int = 4,
-                    rounds: int = 3, rest: int = 4) -> DataFrame:
+                    gain: float = 0.25) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.  ``most`` is the largest number of
     matches a document may ask for, ``frequent`` the posting length from which buckets of about ``bucket``
     documents are linked beforehand, each document in up to ``tries`` of them a round; rounds after the first take
-    larger buckets and compare with several documents of each.  Rounds end after
-    ``rounds`` or when at most ``rest`` pairs a posting remain; the join after them looks at whatever remains."""
+    larger buckets and compare with several documents of each.  Rounds end when one takes less than the share ``gain`` off
+    the pairs across components; the join after them looks at whatever remains."""
     if not 0 < Fraction(percent, 100) <= 1:
         raise ValueError("percent must be above 0 and at most 100")
-    if rounds < 1:
-        raise ValueError("rounds must be at least 1")
+    if not 0 < gain < 1:
+        raise ValueError("gain must be between 0 and 1")
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "ngram-join")
@@ -328,20 +349,19 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
     linked = rows.where("n > 0 AND doc_id IS NOT NULL")
     same = scratch.keep(linked.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rid")), "same")
     reps = linked.join(same, ["n", "s1", "s2"]).where("doc_id = rid").select("rid", "n", "l", "tokens")
-    keep = F.expr(f"n - cast(ceil({percent} * n / 100) AS bigint)")  # level of a token: matches from which on it is in the prefix
-    posts = reps.select("rid", "n", "l", F.posexplode("tokens").alias("p", "token")).select(
-        "token", "rid", "n", "l", F.greatest(F.lit(1), F.col("p") + 1 - keep).cast("int").alias("level"))
+    posts = reps.select("rid", "n", "l", F.posexplode("tokens").alias("p", "token")).select("token", "rid", "n", "l", (F.col("p") + 1).alias("p"))
     shared = posts.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     posts = scratch.keep(posts.join(shared, "token"), "posts")
 
     # Buckets of frequent tokens, in rounds: each joins more documents to the largest component of their tokens.
     signs = linked.join(same, ["n", "s1", "s2"]).where("doc_id = rid").select("rid", *SIGNS).distinct()
     often = scratch.keep(posts.where(F.col("df") > frequent).select("token", "rid", "n", "df").join(signs, "rid"), "frequent")
-    links, joined, postings = None, None, posts.count()
-    for turn in range(rounds):
+    links, joined, before = None, None, math.inf
+    for turn in count():
         hot, left = _parted(often, joined)
-        if turn and left <= rest * postings:
+        if left > (1 - gain) * before:
             break
+        before = left
         wide, heads = (4 * bucket, max(1, bucket // 2)) if turn else (bucket, 1)
         met = scratch.keep(_met(hot, percent, wide, heads, tries, turn), f"met{turn}")
         met = _bounded(met, rows, percent, held, scratch, f"first-pairs{turn}")
@@ -359,13 +379,18 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
     main = by_part.groupBy("token").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
     across = scratch.keep(posts.join(main, "token").join(signs, "rid"), "across")
     scratch.drop("posts")
-    sides = ("rid", "n", "l", "level", "c", *SIGNS)
-    outside = across.where("c != main").select("token", *(F.col(k).alias(f"x_{k}") for k in sides))
-    inside = across.select("token", "main", *(F.col(k).alias(f"y_{k}") for k in sides))
+    sides = ("rid", "n", "l", "p", "c", *SIGNS)
+    least, largest = _partners(percent)
+    hot = F.col("df") > frequent
+    outside = (across.where("c != main").withColumn("least", least).withColumn("largest", largest).where("least <= largest")
+               .select("token", F.explode(F.when(hot, F.sequence(_band(F.col("least")), _band(F.col("largest")))).otherwise(F.array(F.lit(0).cast("long")))).alias("band"),
+                       *(F.col(k).alias(f"x_{k}") for k in sides)))
+    inside = across.select("token", F.when(hot, _band(F.col("n"))).otherwise(F.lit(0).cast("long")).alias("band"), "main", *(F.col(k).alias(f"y_{k}") for k in sides))
     asked = F.least("x_l", "y_l")
-    pairs = (outside.join(inside, "token")
+    overlap = F.expr(f"({percent} * (x_n + y_n) + {99 + percent}) div {100 + percent}")
+    pairs = (outside.join(inside, ["token", "band"])
              .where((F.col("x_c") != F.col("y_c")) & ((F.col("y_c") == F.col("main")) | (F.col("x_rid") < F.col("y_rid"))) & _alike(percent)
-                    & (F.col("x_level") <= asked) & (F.col("y_level") <= asked))
+                    & (F.col("x_p") <= F.col("x_n") - overlap + asked) & (F.col("y_p") <= F.col("y_n") - overlap + asked))
              .groupBy(F.least("x_rid", "y_rid").alias("x"), F.greatest("x_rid", "y_rid").alias("y"))
              .agg(F.count("*").alias("m"), F.min(asked).alias("asked")).where("m >= asked").select("x", "y"))
     pairs = scratch.keep(pairs, "candidates")

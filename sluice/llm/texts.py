@@ -34,7 +34,7 @@ _POWERS: list[np.ndarray] = []
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse, modulo 2**64."""
     if not _POWERS or len(_POWERS[0]) < n:
-        n = 1 << max(20, int(n).bit_length())
+        n = 1 << max(18, int(n).bit_length())
         tables = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             table = np.ones(n, np.uint64)
