@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sluice.catalogue import query
@@ -12,6 +14,8 @@ from sluice.functions.shapes import (datetime_class, datetime_shape, format_date
 from sluice.functions.text import normalise_cell
 from sluice.operators.dedup import dedup_patients
 from sluice.operators.metrics import class_counts
+from sluice.session import shared_folder
+from sluice.sources.csv_records import scan
 from sluice.sources.csv_text import combined_style, style_counts
 
 NUM_CASE = r"""CASE WHEN s IS NULL OR s = '' THEN NULL
@@ -115,6 +119,27 @@ def scan_normalise(spark, sf_dir):
         "_rid", *[normalise_cell(F.col(n)).alias(n) for n in _CELLS])
 
 
+_BLANKS = "' ' || chr(9) || chr(13) || chr(10)"
+# One cell with an open-ended quote, a comma and line ends of both kinds, one with quotes alone.
+_HARD = "concat(source, ' \"', {n}(13), {n}(10), 'a,\"b\"\"', {n}(10), lang, '\" ,')", "concat('\"', lang, '\"')"
+
+
+@query("csv_round_trip", "SELECT doc_id, n_chars, " + ", ".join(
+    f"sha256(CASE WHEN trim({x}, {_BLANKS}) NOT IN ('', 'NA') THEN trim({x}, {_BLANKS}) END) AS {n}"
+    for n, x in (("text_sha", "text"), ("note_sha", _HARD[0].format(n="chr")), ("quoted_sha", _HARD[1]))) + " FROM documents")
+def csv_round_trip(spark, sf_dir):
+    """Documents written as CSV text and scanned again: cells with line ends, quotes and commas come back."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    (docs.select("doc_id", "n_chars", "text", F.expr(_HARD[0].format(n="char")).alias("note"), F.expr(_HARD[1]).alias("quoted"))
+     .write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(folder))
+    found = scan(spark, folder)
+    return found.rows.select(
+        F.col("c0").cast("bigint").alias("doc_id"), F.col("c1").cast("bigint").alias("n_chars"),
+        *[F.sha2(f"c{i}", 256).alias(n) for i, n in ((2, "text_sha"), (3, "note_sha"), (4, "quoted_sha"))])
+
+
 _MONTHS = "(January|February|March|April|May|June|July|August|September|October|November|December)"
 
 

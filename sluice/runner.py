@@ -171,7 +171,8 @@ def clean_file(spark: SparkSession, path: str, out_dir: str, dictionary: Diction
     """Reads one export, cleans it and writes every output below ``out_dir``."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         raise RuntimeError("set spark.sql.session.timeZone to UTC")
-    raw, header = csv_text.scan_csv(spark, path)
+    scan = csv_text.scan(spark, path)
+    raw, header = scan.rows, scan.header
     paired = csv_text.scan_columns(spark, paired_path, ["uid", "facility"]) if paired_path else None
     adm_keys = None
     if cfg.episodes and cfg.episode_role == "discharges":
@@ -187,11 +188,14 @@ def clean_file(spark: SparkSession, path: str, out_dir: str, dictionary: Diction
             lookup = found.withColumn(ADMISSION_DATE, parse_datetime(c(ADMISSION_DATE)))
     result = clean_table(raw, header, dictionary, cfg, paired, adm_keys, lookup)
     table = cut_lineage(result.table)
-    result = replace(result, table=table)
+    broken = scan.problems.groupBy("problem").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("scan").alias("step"), F.lit("").alias("column"), F.col("problem").alias("metric"), "n")
+    result = replace(result, table=table, metrics=result.metrics.unionByName(broken))
     manifest.mark_deidentified(spark, f"{out_dir}/deidentified", path, dictionary.checksum)
 
     manifest.assert_deidentified(spark, f"{out_dir}/deidentified", path, dictionary.checksum)
     n_rejected = sinks.write_rejects(result.rejected, f"{out_dir}/rejected", dictionary, cfg)
+    scan.problems.write.mode("overwrite").parquet(f"{out_dir}/unreadable")
     sinks.write_cleaned(table, f"{out_dir}/cleaned_csv", f"{out_dir}/cleaned", dictionary, cfg)
     if cfg.save_deidentified:
         sinks.write_table(result.raw, f"{out_dir}/deidentified_raw", "deidentified", dictionary, cfg)

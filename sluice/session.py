@@ -46,18 +46,27 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_LOCAL: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for tables between steps; a local session without
+    one gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="sluice-checkpoint-"))
+    return _LOCAL[0]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the cluster names; a local
-    session without one gets a temporary folder."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """Reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="sluice-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

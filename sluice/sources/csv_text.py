@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.shapes import THOUSANDS
-from sluice.functions.text import c, header_name, normalise_cell
+from sluice.functions.text import c, header_name
+from sluice.sources.csv_records import read_header, scan
 
 # Header spellings of the two export styles.
 TITLE_HEADERS = ("Unique Key", "Started At", "Completed At", "Ingested At")
@@ -20,34 +20,22 @@ MONTH_NAME = rf"^\s*({_MONTHS}\s+[0-9]{{1,2}},\s*[0-9]{{4}}|[0-9]{{1,2}}\s+{_MON
 ISO_LIKE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}|\s*$)"
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the first line, as written."""
-    first = spark.read.text(path).first()
-    return next(csv.reader([first[0].lstrip("﻿")])) if first else []
-
-
-def scan_csv(spark: SparkSession, path: str, header: Sequence[str] | None = None,
-             multi_line: bool = False) -> tuple[DataFrame, list[str]]:
+def scan_csv(spark: SparkSession, path: str, header: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
     """(cells as text under positional names c0..cN plus ``_rid``, header).
 
     Positional names keep repeated headers apart.  Cells are trimmed; empty and
     ``NA`` cells are null.  ``_rid`` follows the input order."""
-    header = list(header or read_header(spark, path))
-    schema = ", ".join(f"c{i} string" for i in range(len(header)))
-    raw = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-           .option("escape", '"').csv(path))
-    cells = [normalise_cell(F.col(f"c{i}")).alias(f"c{i}") for i in range(len(header))]
-    return raw.select(F.monotonically_increasing_id().alias("_rid"), *cells), header
+    found = scan(spark, path, header)
+    return found.rows, found.header
 
 
 def scan_columns(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame | None:
-    """Columns of a second export by normalised header name (the reader parses
-    only these); None when one is missing."""
-    df, header = scan_csv(spark, path)
+    """Columns of a second export by normalised header name; None when one is missing."""
+    header = read_header(spark, path)
     at = {header_name(h): i for i, h in reversed(list(enumerate(header)))}
     if any(n not in at for n in names):
         return None
-    return df.select(*[F.col(f"c{at[n]}").alias(n) for n in names])
+    return scan(spark, path, header).rows.select(*[F.col(f"c{at[n]}").alias(n) for n in names])
 
 
 def style_counts(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> DataFrame:
@@ -80,8 +68,8 @@ def combined_style(header: str, n_iso: Column, n_month: Column, n_thousands: Col
     return F.when(values.isin("unknown", header), F.lit(header)).otherwise("mixed")
 
 
-def detect_style(df: DataFrame, header: Sequence[str], rows: int | None = 500) -> str:
-    """Export style of a scanned file; informational, parsing does not use it."""
+def detect_style(df: DataFrame, header: Sequence[str], rows: int | None = None) -> str:
+    """Export style of a scanned file, from all its rows; informational, parsing does not use it."""
     counts = style_counts(df, [n for n in df.columns if n != "_rid"], rows)
     return counts.select(combined_style(header_style(header), F.col("n_iso"), F.col("n_month"),
                                         F.col("n_thousands"))).first()[0]
