@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.texts import bounded_batches
 from sluice.session import ship
 
 
@@ -34,7 +35,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """``cached`` pieces and as many words are remembered at most."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = 100_000):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.length = [len(self.tokens.get(rank, b"")) for rank in range(max(self.tokens, default=-1) + 1)]
@@ -163,6 +164,7 @@ def _digest(encoder: Encoder, text: str | None) -> tuple[int, str, str]:
 
 def _rows(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

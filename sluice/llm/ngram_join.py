@@ -33,14 +33,12 @@ from pyspark.sql import functions as F
 
 from sluice.llm.graph import components
 from sluice.llm.scratch import Scratch
-from sluice.llm.texts import NOT_SPACE, mixed, words
+from sluice.llm.texts import NOT_SPACE, bounded_batches, mixed, words
 from sluice.session import ship
 
 #: Cells of the frequency sketch: its size does not depend on the data.
 CELL_BITS = 22
 PART_BITS = 16
-#: Bytes of text a Python worker turns into n-grams, and hands on, at a time; a longer text is one group.
-GROUP = 1 << 18
 #: 64-bit words of a set's parity signature.
 PARITY = 4
 SIGNS = [f"p{i}" for i in range(PARITY)]
@@ -49,7 +47,7 @@ SIGNS = [f"p{i}" for i in range(PARITY)]
 def shingle_sets(texts, n: int):
     """For groups of texts: (first index, sizes of their sets, the sets one after another, each sorted)."""
     turn = [mixed(np.array([i + 1], np.uint64))[0] | np.uint64(1) for i in range(n)]
-    for first, counts, hashes, _ in words(texts, NOT_SPACE, size=GROUP):
+    for first, counts, hashes, _ in words(texts, NOT_SPACE):
         grams = np.maximum(counts - n + 1, (counts > 0).astype(counts.dtype))
         ends = np.cumsum(counts)
         of = np.repeat(np.arange(len(counts)), grams)
@@ -342,6 +340,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, most: int =
         raise ValueError("gain must be between 0 and 1")
     spark = docs.sparkSession
     ship(spark)
+    bounded_batches(spark)
     scratch = Scratch(spark, "ngram-join")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     held = spark.sparkContext.broadcast(frequencies(texts, n))

@@ -5,13 +5,19 @@ from __future__ import annotations
 import string
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but the six ASCII white-space bytes.
 WORD = "[^ \\t-\\r]+"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session hands rows to Python in batches of at most 4 MB (or one longer row), so that batches of
+    whole texts stay small on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else; ``lower`` alone would also fold other letters."""
     return (F.when(F.octet_length(text) == F.char_length(text), F.lower(text))
@@ -89,7 +95,7 @@ NOT_SPACE = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 LETTERS = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
-def words(texts, inside: np.ndarray, prefixes: tuple[int, ...] = (), size: int = 1 << 20):
+def words(texts, inside: np.ndarray, prefixes: tuple[int, ...] = (), size: int = 1 << 18):
     """Hashes of the lower-cased words of texts, in groups of texts: (first index, words of each
     text, hashes of the words, hashes of their first n bytes for each of ``prefixes``).  A text
     longer than ``size`` is a group by itself and is hashed in parts."""
