@@ -3,8 +3,8 @@
 Some rules depend on what was decided for earlier rows of the same key.  Spark
 partitions and sorts the rows; a fold walks them batch by batch and keeps only
 its state in memory.  A key too large for one task is cut into chunks along its
-order.  Chunks run in parallel from a guessed start state, then again from the
-end state of the chunk before, until no start state changes; the first chunk is
+order.  Chunks run in parallel from a guessed start state; those whose true start
+state, the end state of the chunk before, turns out different run again, until no start state changes; the first chunk is
 right after one round, so the outcome equals one sequential pass.
 """
 
@@ -126,7 +126,10 @@ class EntityFold:
 
     Entities are kept as summaries (value ranges and value sets of their
     members), grouped by equal summary, so a record is compared with each kind
-    of entity once.  ``seed`` rows carry known entities (admissions) that later
+    of entity once.  Kinds are found through an index over sexes, weight band and
+    gestation band: a kind elsewhere differs in identity and decides nothing.
+    A record takes the earliest entity it belongs to, so kinds are looked at by their
+    earliest entity and no further than to the first one that fits.  ``seed`` rows carry known entities (admissions) that later
     records are placed among."""
 
     columns = ("rec", "seed", "facility", "sex", "bw", "ga", "readm", "apgar5", "mode", "birthf",
@@ -138,6 +141,7 @@ class EntityFold:
         self.kind_of: dict[int, tuple] = {}
         self.kinds: dict[tuple, list[int]] = {}     # kind -> heap of entity numbers
         self.live: dict[tuple, int] = {}             # kind -> entities of that kind
+        self.sexes: dict[tuple, dict] = {}           # sexes -> weight band -> gestation band -> kinds
         self.top = 0
         for k, stay, *kind in (state or {"entities": []})["entities"]:
             self._put(k, stay, tuple(tuple(x) if isinstance(x, list) else x for x in kind))
@@ -148,6 +152,9 @@ class EntityFold:
     def _put(self, k: int, stay: int, kind: tuple) -> None:
         self.stays[k], self.kind_of[k], self.top = stay, kind, max(self.top, k)
         self.live[kind] = self.live.get(kind, 0) + 1
+        if kind not in self.kinds:
+            sexes, bw, ga = self._cell(kind)
+            self.sexes.setdefault(sexes, {}).setdefault(bw, {}).setdefault(ga, {})[kind] = None
         heapq.heappush(self.kinds.setdefault(kind, []), k)
 
     def _drop(self, k: int) -> None:
@@ -155,7 +162,41 @@ class EntityFold:
         kind = self.kind_of.pop(k)
         self.live[kind] -= 1
         if not self.live[kind]:
-            del self.live[kind], self.kinds[kind]
+            sexes, bw, ga = self._cell(kind)
+            bands = self.sexes[sexes]
+            del self.live[kind], self.kinds[kind], bands[bw][ga][kind]
+            if not bands[bw][ga]:
+                del bands[bw][ga]
+            if not bands[bw]:
+                del bands[bw]
+
+    @staticmethod
+    def _cell(kind: tuple) -> tuple:
+        """Place of a kind in the index: its sexes and the bands of its least weight and gestation."""
+        sexes, bw, ga = kind[:3]
+        return sexes, None if bw is None else bw[0] // WEIGHT_TOLERANCE, None if ga is None else ga[0] // WEEKS_TOLERANCE
+
+    @staticmethod
+    def _near(bands: dict, x, tolerance) -> list:
+        """Bands whose ranges may lie within ``tolerance`` of x: a fitting range begins at most that far from it."""
+        if x is None:
+            return list(bands)
+        low, high = (x - tolerance) // tolerance, (x + tolerance) // tolerance
+        if high - low + 2 < len(bands):
+            return [b for b in (None, *range(int(low), int(high) + 1)) if b in bands]
+        return [b for b in bands if b is None or low <= b <= high]
+
+    def _candidates(self, r) -> list[tuple]:
+        """Kinds whose identity may agree with the record's, as (earliest entity, kind) by that entity."""
+        found = []
+        for sexes, weights in self.sexes.items():
+            if r["sex"] is not None and any(s != r["sex"] for s in sexes):
+                continue
+            for bw in self._near(weights, r["bw"], WEIGHT_TOLERANCE):
+                weeks = weights[bw]
+                for ga in self._near(weeks, r["ga"], WEEKS_TOLERANCE):
+                    found += [(self._first(kind), kind) for kind in weeks[ga]]
+        return sorted(found, key=lambda x: x[0])
 
     def _first(self, kind: tuple) -> int:
         heap = self.kinds[kind]
@@ -224,12 +265,11 @@ class EntityFold:
         else:
             same: tuple[int, str] | None = None
             unresolved = other_differs = False
-            for kind in self.kinds:
+            for first, kind in self._candidates(r):
                 rel = self._relation(r, kind)
                 if rel.startswith("same"):
-                    first = self._first(kind)
-                    if same is None or first < same[0]:
-                        same = (first, rel)
+                    same = (first, rel)
+                    break
                 unresolved |= rel == "unresolved"
                 other_differs |= rel == "different: other fields differ"
             if same is not None:
@@ -358,22 +398,28 @@ def fold_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fol
     types = dict(df.select(*group).dtypes)
     out_schema = ", ".join([schema, *[f"{k} {types[k]}" for k in group], "_state string"])
     chunks = rows.select(*group).distinct()
-    states = None
+    feed, done, states = rows, None, None
     while True:
-        feed = rows if states is None else rows.unionByName(states, allowMissingColumns=True)
         out = cut_lineage(feed.transform(together, group)
                           .sortWithinPartitions(*group, F.col("_state").asc_nulls_last(),
                                                 *_order_names(order))
                           .mapInPandas(_walk(fold, keys, True), out_schema))
+        # Chunks that did not run again keep what they gave before.
+        again = out.select(*group).distinct()
+        found = out.filter("_state IS NULL")
+        done = found if done is None else done.join(again, group, "left_anti").unionByName(found)
         ends = (out.filter("_state IS NOT NULL")
                 .select(*keys, (F.col("_chunk") + 1).cast(types["_chunk"]).alias("_chunk"), "_state")
                 .join(chunks, group, "left_semi"))
-        changed = ends if states is None else ends.join(
-            states.select(*group, F.col("_state").alias("_old")), group, "left").filter(
-            ~F.col("_state").eqNullSafe(F.col("_old")))
+        changed = ends
+        if states is not None:
+            changed = ends.join(states.select(*group, F.col("_state").alias("_old")), group, "left").filter(
+                ~F.col("_state").eqNullSafe(F.col("_old"))).drop("_old")
+        changed = cut_lineage(changed)
         if changed.isEmpty():
-            return out.filter("_state IS NULL").select(*fold.out)
-        states = ends
+            return done.select(*fold.out)
+        states = cut_lineage(changed if states is None else states.join(changed.select(*group), group, "left_anti").unionByName(changed))
+        feed = rows.join(changed.select(*group), group, "left_semi").unionByName(changed, allowMissingColumns=True)
 
 
 def cut_keys(df: DataFrame, keys: Sequence[str], bucket: Column, chunk_rows: int = CHUNK_ROWS,
