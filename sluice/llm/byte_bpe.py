@@ -27,6 +27,10 @@ from sluice.llm.texts import bounded_batches
 from sluice.session import ship
 
 
+#: Pieces, and words, that a worker remembers at most.
+CACHED = 300_000
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -35,7 +39,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """``cached`` pieces and as many words are remembered at most."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = CACHED):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.length = [len(self.tokens.get(rank, b"")) for rank in range(max(self.tokens, default=-1) + 1)]
@@ -148,8 +152,8 @@ class _Memo(dict):
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(path), pattern)
+def _encoder(path: str, pattern: str, cached: int = CACHED) -> Encoder:
+    return Encoder(read_ranks(path), pattern, cached)
 
 
 def _digest(encoder: Encoder, text: str | None) -> tuple[int, str, str]:
@@ -168,11 +172,11 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def token_digests(docs: DataFrame, path: str, pattern: str, cached: int = CACHED) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row; the decoded bytes come
-    from the ids alone."""
+    from the ids alone.  ``cached`` bounds what a worker remembers: less memory, more work."""
     def batches(found):
-        encoder = _encoder(path, pattern)
+        encoder = _encoder(path, pattern, cached)
         for batch in found:
             n, ids, data = zip(*(_digest(encoder, t.as_py()) for t in batch["text"])) if len(batch) else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())],
