@@ -30,7 +30,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return byte_bpe.token_digests(docs, TOKENIZER, public_tokenizers.PATTERN)
+    """One row of digests per document; workers that hold what earlier stages left remember fewer words."""
+    return byte_bpe.token_digests(docs, TOKENIZER, public_tokenizers.PATTERN, cached=100_000)
 
 
 STAGES = [
