@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from sluice.plans.dictionary import Dictionary
 from sluice.plans.registry import DATASETS, episode_role, file_plan, pair_files, registry
 from sluice.session import bounded_rows, cut_lineage
 from sluice.sources import csv_text, manifest, sinks
+from sluice.sources import scripts as form_scripts
 
 # Datasets whose specimen date may come from the admissions file.
 LOOKUP_DATE = "datebct.value"
@@ -167,7 +169,8 @@ def raw_names(raw: DataFrame, header: list[str], cfg: RunConfig) -> DataFrame:
 
 def clean_file(spark: SparkSession, path: str, out_dir: str, dictionary: Dictionary, cfg: RunConfig,
                paired_path: str | None = None, conditions: DataFrame | None = None,
-               script_map: DataFrame | None = None) -> dict[str, object]:
+               script_map: DataFrame | None = None, exact_ids: tuple[str, ...] = (),
+               aliases: dict[str, str] | None = None) -> dict[str, object]:
     """Reads one export, cleans it and writes every output below ``out_dir``."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         raise RuntimeError("set spark.sql.session.timeZone to UTC")
@@ -203,7 +206,7 @@ def clean_file(spark: SparkSession, path: str, out_dir: str, dictionary: Diction
         sinks.write_harmonised(table, f"{out_dir}/harmonised", dictionary, cfg)
     if result.keys is not None:
         manifest.write_keys(result.keys, f"{out_dir}/episode_keys", path, dictionary.checksum)
-    coded = code_reasons(result, raw_names(raw, header, cfg), cfg, conditions, script_map)
+    coded = code_reasons(result, raw_names(raw, header, cfg), cfg, conditions, script_map, exact_ids, aliases)
     sinks.write_csv(coded.wide, f"{out_dir}/na_reasons", "na_reasons", dictionary, cfg, compressed=True)
     if cfg.save_na_long:
         sinks.write_csv(coded.long, f"{out_dir}/na_reasons_long", "na_reasons_long", dictionary, cfg,
@@ -225,14 +228,28 @@ def plan_batch(spark: SparkSession, input_dir: str, datasets=DATASETS, keep: str
     return pair_files(file_plan(files, registry(spark, datasets), keep=keep, skip=skip))
 
 
+def form_conditions(spark: SparkSession, scripts: str, country: str) -> DataFrame | None:
+    """Conditions of a country's form scripts, read once per batch; None where it has no scripts."""
+    try:
+        found = form_scripts.read_scripts(spark, f"{scripts.rstrip('/')}/{country}", country)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    return cut_lineage(reasons.first_conditions(form_scripts.script_fields(found.filter("scriptId IS NOT NULL"))))
+
+
 def run_batch(spark: SparkSession, input_dir: str, out_dir: str, dictionaries: dict[tuple[str, str], Dictionary],
               base: RunConfig | None = None, datasets=DATASETS, keep: str | None = None,
               skip: tuple[str, ...] = (), label_rules: dict[tuple[str, str], dict[str, str]] | None = None,
-              ) -> list[dict]:
+              scripts: str | None = None, script_map: DataFrame | None = None, exact_ids: tuple[str, ...] = (),
+              aliases: dict[str, str] | None = None) -> list[dict]:
     """Every runnable file in name order (admissions come before discharges); a
-    failing file is recorded and the batch goes on."""
+    failing file is recorded and the batch goes on.  ``scripts`` holds a folder of form scripts per country; with
+    ``script_map`` (country, dataset, facility, script_id) their conditions tell which empty cells the form did not show."""
     plan = bounded_rows(plan_batch(spark, input_dir, datasets, keep, skip).orderBy("file_name"), what="input files")
     visits = {d[0]: d[5] for d in datasets}
+    conditions: dict[str, DataFrame | None] = {}
     out = []
     for p in plan:
         line = {k: p[k] for k in ("file_name", "country", "dataset", "source")}
@@ -251,7 +268,10 @@ def run_batch(spark: SparkSession, input_dir: str, out_dir: str, dictionaries: d
             stem = p["file_name"].removesuffix(".csv")
             folder = input_dir.rstrip("/")
             paired = f"{folder}/{p['paired_file']}" if p["paired_file"] else None
-            got = clean_file(spark, f"{folder}/{p['file_name']}", f"{out_dir.rstrip('/')}/{stem}", dictionary, cfg, paired)
+            if scripts is not None and key[0] not in conditions:
+                conditions[key[0]] = form_conditions(spark, scripts, key[0])
+            got = clean_file(spark, f"{folder}/{p['file_name']}", f"{out_dir.rstrip('/')}/{stem}", dictionary, cfg, paired,
+                             conditions.get(key[0]), script_map, exact_ids, aliases)
             out.append({**line, "source": got["style"], "status": "ok", "detail": f"{got['rows']} rows"})
         except Exception as e:  # one bad file must not end the batch
             out.append({**line, "status": "failed", "detail": str(e).split("\n")[0]})

@@ -314,6 +314,31 @@ def test_reason_priority(spark):
     assert got == [-6, -6, -7, -8, -9, -9, None]
 
 
+def test_batch_reads_scripts(spark, tmp_path):
+    """A batch with form scripts gives -7 where the form did not show a field, and reports broken rows."""
+    inputs = tmp_path / "in"
+    inputs.mkdir()
+    path = write(inputs / "zim_admissions_2026-10-08.csv", ["uid", "facility", "unique_key", "gender.value", "twin.value"],
+                 [["AAAA-0001", "H1", "k1", "M", ""], ["AAAA-0002", "H1", "k2", "F", ""], ["AAAA-0003", "H2", "k3", "F", ""]])
+    with open(path, "a") as out:
+        out.write("AAAA-0004,H1\n")
+    folder = tmp_path / "scripts" / "ZIM"
+    folder.mkdir(parents=True)
+    (folder / "one-metadata.json").write_text("""{"scriptId": "S1", "title": "Form", "screens": [
+      {"title": "A", "fields": [{"key": "Gender"}, {"key": "Twin", "condition": "$Gender = 'M'"}]}]}""")
+    scripts = spark.createDataFrame([("ZIM", "admissions", "h1", "S1")], "country string, dataset string, facility string, script_id string")
+    lines = runner.run_batch(spark, str(inputs), str(tmp_path / "out"), {("ZIM", "admissions"): DICTIONARY},
+                             RunConfig(dedup_mode="current"), scripts=str(tmp_path / "scripts"), script_map=scripts)
+    assert [x["status"] for x in lines] == ["ok"], lines
+    done = f"{tmp_path}/out/zim_admissions_2026-10-08"
+    codes = spark.read.option("header", True).csv(f"{done}/na_reasons").collect()
+    assert {r["uid"]: r["twin"] for r in codes} == {"AAAA-0001": "-9", "AAAA-0002": "-7", "AAAA-0003": "-9"}
+    assert [(r.problem, r.n_cells) for r in spark.read.parquet(f"{done}/unreadable").collect()] == [("short", 2)]
+    broken = spark.read.parquet(f"{done}/metrics").filter("step = 'scan'").collect()
+    assert [(r["metric"], r["n"]) for r in broken] == [("short", 1)]
+    assert runner.form_conditions(spark, str(tmp_path / "scripts"), "MWI") is None
+
+
 def test_skip_logic_in_a_run(spark, tmp_path):
     path = write(tmp_path / "s.csv", ["uid", "facility", "unique_key", "gender.value", "twin.value"],
                  [["AAAA-0001", "H1", "k1", "M", ""], ["AAAA-0002", "H1", "k2", "F", ""], ["AAAA-0003", "H2", "k3", "F", ""]])
