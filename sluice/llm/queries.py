@@ -132,7 +132,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents)
 WINDOW same AS (PARTITION BY t)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.decide(documents(spark, sf_dir), exact_dedup.new_index(spark))
+    return exact_dedup.decide(documents(spark, sf_dir), exact_dedup.new_index(spark), batches=2)
 
 
 def _crc32(text: str) -> str:
