@@ -82,9 +82,11 @@ def _codes(words: DataFrame) -> DataFrame:
     letters = words.repartition("id").select("id", "n", "swap_last", "swap_first", "drop_last", "drop_first", "whole", F.posexplode("words").alias("i", "word"))
     letters = letters.withColumn("here", F.xxhash64("word", "i")).withColumn("moved", F.xxhash64("word", F.col("i") - 1))
     line = Window.partitionBy("id").orderBy("i")
-    before, after = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
-    letters = (letters.withColumn("v", F.coalesce(F.bit_xor("here").over(before), F.lit(0)).bitwiseXOR(F.coalesce(F.bit_xor("moved").over(after), F.lit(0))))
-               .withColumn("x", F.bit_xor("here").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    running, whole = line.rowsBetween(Window.unboundedPreceding, 0), line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # What stands before a word is the running XOR without it, what stands after it the whole XOR without the running one.
+    before = F.bit_xor("here").over(running).bitwiseXOR(F.col("here"))
+    after = F.bit_xor("moved").over(whole).bitwiseXOR(F.bit_xor("moved").over(running))
+    letters = letters.withColumn("v", before.bitwiseXOR(after)).withColumn("x", F.bit_xor("here").over(whole))
     swap = F.expr("swap_last AND i >= floor(n / 2) OR swap_first AND i < floor(n / 2)")
     drop = F.expr("drop_last AND i >= floor((n - 1) / 2) OR drop_first AND i <= floor((n - 1) / 2)")
     return letters.select("id", F.explode(F.array_compact(F.array(
