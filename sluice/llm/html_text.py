@@ -79,14 +79,18 @@ class Page:
         self.text: list[str] = []
         self.holders: list[int] = []
         self.open: list[_Element] = []
+        self.places: dict[str, list[int]] = {}  # of the open elements of each tag
         source = source or ""
-        at = 0
+        at, last = 0, source.rfind(">") + 1  # no tag ends after it, and a comment that starts there holds the rest
+        source = source[:last] + source[last:].split("<!--", 1)[0]
         while True:
-            found = TAG.search(source, at)
+            found = TAG.search(source, at, last)
             self._text(source[at:found.start()] if found else source[at:])
             if not found:
                 break
             at = found.end()
+            if found[0].startswith("<!--") and not found[0].endswith("-->"):
+                break
             close, tag, attributes = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
             if not tag:
                 continue
@@ -157,20 +161,22 @@ class Page:
         self.hashes.append(None)
         if dropped != bool(above and above.dropped):
             self._flush()
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append(_Element(tag, dropped, article, main, [tag, marks], number))
 
+    def _innermost(self, tags) -> int:
+        """Place among the open elements of the innermost one of ``tags``, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def _end(self, tags, limit) -> None:
         """Ends the innermost open element of ``tags``, if no element of ``limit`` is further in."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag in tags:
-                while len(self.open) > i:
-                    self._pop()
-                return
-            if self.open[i].tag in limit:
-                return
+        at = self._innermost(tags)
+        if at > self._innermost(limit):
+            while len(self.open) > at:
+                self._pop()
 
     def _close(self, tag: str) -> None:
-        if any(e.tag == tag for e in self.open):
+        if self.places.get(tag):
             while self._pop() != tag:
                 pass
         elif tag in ("p", "br"):
@@ -182,6 +188,7 @@ class Page:
         if element.tag in BLOCK or element.dropped != bool(above and above.dropped):
             self._flush()
         self.open.pop()
+        self.places[element.tag].pop()
         digest = _hash("\x1f".join(element.parts).encode("utf-8", "surrogatepass"))
         if not (element.article and element.tag in CELLS):
             self.hashes[element.id] = digest

@@ -50,6 +50,29 @@ def test_exact_dedup(spark):
     assert exact_dedup.decide(empty(spark), exact_dedup.new_index(spark, 2)).isEmpty()
 
 
+def test_exact_dedup_again_and_in_batches(spark, tmp_path):
+    texts = [f"text {i % 17} {'A' if i % 2 else 'a'}" for i in range(60)] + [None, "", "alone"]
+    docs = documents(spark, texts)
+    docs = docs.union(docs.limit(1).selectExpr("cast(null AS long) AS doc_id", "'alone' AS text", *docs.columns[2:]))
+    folder = str(tmp_path / "index")
+    index = exact_dedup.DigestIndex(spark, folder, 4)
+    first = sorted(map(tuple, exact_dedup.unique(docs, index).collect()))
+    assert first == sorted(map(tuple, exact_dedup.unique(docs, index).collect()))
+    assert first == sorted(map(tuple, exact_dedup.unique(docs, exact_dedup.DigestIndex(spark, folder)).collect()))
+    assert exact_dedup.unique(docs.where("doc_id < 40"), index).isEmpty()
+    with pytest.raises(ValueError, match="4 buckets"):
+        exact_dedup.DigestIndex(spark, folder, 2)
+    named = exact_dedup.DigestIndex(spark, folder)
+    more = named.rows().select("keep_id", "digest").limit(0).union(spark.sql("SELECT 900L, unhex('ab')"))
+    one = more.toDF("doc_id", "digest")
+    assert named.add(one, "monday").count() == 1 and named.add(one, "monday").count() == 1 and named.add(one, "tuesday").count() == 0
+    order = lambda df: sorted(map(repr, df.collect()))
+    whole = order(exact_dedup.decide(docs, exact_dedup.new_index(spark)))
+    for batches in (2, 5):
+        assert order(exact_dedup.decide(docs, exact_dedup.new_index(spark), batches)) == whole
+    assert exact_dedup.decide(empty(spark), exact_dedup.new_index(spark), 2).isEmpty()
+
+
 def test_mixing(spark):
     draw = random.Random(3)
     sources = [draw.choice(["a", "b", "c", "d", None]) for _ in range(400)]
@@ -170,6 +193,13 @@ def test_html(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).isEmpty()
 
 
+def test_html_many_unclosed_elements():
+    unclosed = html_text.Page("<p>first" + "<div>" * 50_000 + "<span>deep</b>" * 50_000 + "</p></i>" * 50_000)
+    assert unclosed.main_text().startswith("first\ndeepdeep")
+    items = html_text.Page("<ul>" + "<li>a<ul>" * 20_000 + "<td>" * 20_000 + "</ul>" * 20_000)
+    assert items.main_text() == "\n".join("a" * 20_000)
+
+
 def test_html_recurring_in_articles(spark):
     box = "<div class='x'><p>Write to us, dear reader.</p><span>Print</span></div>"
     row = "<tr><td>n</td><td>0</td></tr>"
@@ -271,6 +301,14 @@ def test_line_dedup(spark):
     assert line_dedup.summary(empty(spark)).isEmpty()
 
 
+def test_line_dedup_very_long_lines(spark):
+    words = [f"w{i * 7919 % 100_003}" for i in range(200_000)]
+    edited = words[:150_000] + ["other"] + words[150_001:]
+    shorter = words[:20] + words[21:]
+    rows = line_dedup.summary(documents(spark, [" ".join(words), " ".join(edited), " ".join(shorter), " ".join(words[:-2])]), 10).collect()
+    assert {r.doc_id: r.n_kept for r in rows} == {0: 1, 1: 0, 2: 0, 3: 1}
+
+
 def test_surrogates(spark):
     texts = ["mail Bob_9@mail7.example.com, +1 (319) 555-5132 or 4111 1111 1111 1111 at 89.189.210.185", "Bob_9@mail7.example.com x@mail7.example.com",
              "Mrs. Anna Weber, Mr Karl Weber, г-н Иван Петров", None, "", "version 2.0. nothing", 'token = "0641917ea4e9feb9cda83477" password=e3b3ed3c']
