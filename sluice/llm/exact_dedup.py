@@ -49,7 +49,7 @@ class DigestIndex:
             stored = self.spark.read.schema("buckets int").parquet(settings).first().buckets
         except AnalysisException:  # a new folder
             stored = buckets or BUCKETS
-            self.spark.createDataFrame([(stored,)], "buckets int").coalesce(1).write.parquet(settings)
+            self.spark.range(0, 1, 1, 1).select(F.lit(stored).alias("buckets")).write.parquet(settings)
         if buckets not in (None, stored):
             raise ValueError(f"the index in {self.folder} has {stored} buckets, not {buckets}")
         return stored
