@@ -278,6 +278,25 @@ def test_toxicity(spark):
     assert toxicity.scored(empty(spark), toxicity.learn(empty(spark), labels.limit(0))).isEmpty()
 
 
+def test_toxicity_of_few_labels(spark):
+    draw = random.Random(12)
+    common, bad = [f"{a}{b}" for a in "kestrel plover marten heron otter".split() for b in range(100)], "grubby rotten vile beastly odious mouldy rancid".split()
+    texts, toxic = [], []
+    for i in range(600):
+        words = draw.choices(common, k=draw.randrange(20, 300))
+        toxic.append(int(i % 10 == 0))
+        for _ in range(3 * toxic[-1]):
+            words.insert(draw.randrange(len(words)), draw.choice(bad))
+        texts.append(" ".join(words))
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity.learn(documents(spark, texts), labels, "doc_id < 300")
+    scores = {r.doc_id: r.score for r in toxicity.scored(documents(spark, texts), model).collect()}
+    held = range(300, 600)
+    ranks = [scores[a] > scores[b] for a in held if toxic[a] for b in held if not toxic[b]]
+    assert np.mean(ranks) > 0.95
+    assert sum(scores[i] >= 0.7 for i in held if toxic[i]) >= 20 and sum(scores[i] >= 0.7 for i in held if not toxic[i]) <= 3
+
+
 def test_licences(spark):
     texts = ["Released under the MIT License.", "CC BY-NC, cc by nc by nc", "Apache License, Version 2.0 under the mit", None, "",
              "GNU General Public License, version 3", "under the MİT license K", "mit " * 50_000 + "under the mit license"]
