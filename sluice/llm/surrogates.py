@@ -75,10 +75,10 @@ def _kind(value: Column, gap: Column, gap_after: Column, next_value: Column) ->
             .when(given & after_title(FEMALE), "given-f").when(given & after_title(MALE), "given-m").when(given & after_title(NEUTRAL), "given").otherwise("family"))
 
 
-def _digits(parts: str, key: str) -> str:
+def _digits(parts: str) -> str:
     """SQL: keyed hash in hex, long enough for every character of ``value``."""
     return (f"array_join(transform(sequence(0, cast(length({parts}) / 64 AS int)), b -> "
-            f"sha2(concat_ws('\\u0001', '{key}', kind, {parts}, cast(attempt AS string), cast(b AS string)), 512)), '')")
+            f"sha2(concat_ws('\\u0001', secret, kind, {parts}, cast(attempt AS string), cast(b AS string)), 512)), '')")
 
 
 _SETS = (("[0-9]", "0123456789"), ("[a-f]", None), ("[A-F]", None), ("[a-z]", "abcdefghijklmnopqrstuvwxyz"), ("[A-Z]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
@@ -108,7 +108,7 @@ _LUHN = ("pmod(aggregate(sequence(1, length({0})), 0, (s, i) -> s + CASE WHEN pm
 
 def _made(entities: DataFrame, key: str) -> DataFrame:
     """Adds ``surrogate`` to (kind, value, attempt)."""
-    rows = entities.withColumn("stream", F.expr(_digits("value", key)))
+    rows = entities.withColumn("secret", F.lit(key)).withColumn("stream", F.expr(_digits("value")))
     rows = rows.withColumn("plain", F.expr(_same_classes("value", "stream", "CASE kind WHEN 'key' THEN 4 WHEN 'iban' THEN 4 WHEN 'phone' THEN greatest(locate('(', value) - 1, length(regexp_extract(value, '^0*', 0)), 0) ELSE 0 END")))
     octets = ("array_join(transform(split(value, '[.]'), (o, i) -> cast(CASE length(o) WHEN 1 THEN 1 + d(i) % 9 WHEN 2 THEN 10 + d(i) % 90 ELSE 100 + d(i) % 155 END AS string)), '.')"
               .replace("d(i)", "cast(conv(substring(stream, 4 * i + 1, 4), 16, 10) AS int)"))

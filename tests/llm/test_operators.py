@@ -347,6 +347,13 @@ def test_surrogates(spark):
     assert surrogates.replaced(empty(spark), "key").isEmpty()
 
 
+@pytest.mark.parametrize("key", ["it's", 'a "b"', "back\\slash\\", "", "ключ"])
+def test_surrogates_take_any_key(spark, key):
+    rows = surrogates.replaced(documents(spark, ["write to anna@site.org", "anna@site.org"]), key=key).collect()
+    got = {r.doc_id: r.text for r in rows}
+    assert got[0] == f"write to {got[1]}" and got[1] != "anna@site.org" and got[1].endswith(".org")
+
+
 def test_surrogates_further_forms(spark):
     hidden = ["(319) 555-5132", "319-555-5132", "030/1234567", "0049 30 1234567", "2001:0db8:85a3::8a2e:0370:7334", "fe80::1ff:fe23:4567:890a",
               "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "3782 822463 10005"]
