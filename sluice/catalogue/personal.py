@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from sluice.catalogue import query
 from sluice.catalogue.views import table, view
 from sluice.functions.pii import is_staff_key_col, redact, value_pattern
-from sluice.operators.pii import pattern_hits, scrub_terms, staff_terms, term_patterns, terms_left
+from sluice.operators.pii import (pattern_hits, scrub_term_table, scrub_terms, staff_terms, term_patterns, term_rows_left,
+                                  terms_left)
 from sluice.session import bounded_rows
 
 
@@ -88,6 +89,43 @@ def scrub_terms_query(spark, sf_dir):
                      terms_left(F.col("s"), patterns).alias("left_over"))
 
 
+_OPENINGS = """SELECT DISTINCT t AS term FROM (SELECT unnest([w[1], array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' ')]) AS t
+  FROM (SELECT regexp_extract_all(text, '[A-Za-z0-9_]+') AS w FROM conversations) a) b WHERE length(t) > 3"""
+
+
+def _term_table_sql() -> str:
+    """Words stand between marks, so that a term's ends are seen without being consumed; each text is searched for the
+    terms it holds as a string."""
+    def marked(x: str) -> str:
+        return f"regexp_replace({x}, '([A-Za-z0-9_]+)', chr(1) || '\\1' || chr(1), 'g')"
+
+    def pattern(flag: str, blank: str) -> str:
+        return f"'{flag}(' || string_agg(m, '|' ORDER BY length(term) DESC, term) FILTER (WHERE {blank}contains(term, ' ')) || ')'"
+
+    return f"""WITH t AS (SELECT term, {marked('term')} AS m FROM ({_OPENINGS}) o),
+ p AS (SELECT doc_id, {pattern('(?i)', '')} AS several, {pattern('', 'NOT ')} AS single
+  FROM documents JOIN t ON contains(lower(text), lower(term)) GROUP BY doc_id),
+ a AS (SELECT d.doc_id, {marked('text')} AS s, several, single FROM documents d LEFT JOIN p ON p.doc_id = d.doc_id),
+ b AS (SELECT doc_id, CASE WHEN several IS NULL THEN s ELSE regexp_replace(s, several, '[staff]', 'g') END AS s, single FROM a),
+ e AS (SELECT doc_id, replace(CASE WHEN single IS NULL THEN s ELSE regexp_replace(s, single, '[staff]', 'g') END, chr(1), '') AS s FROM b)
+ SELECT doc_id, md5(s) AS text_md5, len(s) AS n_chars, false AS left_over FROM e"""
+
+
+@query("scrub_term_table", _term_table_sql())
+def scrub_term_table_query(spark, sf_dir):
+    """A term table that grows with the input (first one, two and three words of every turn) removed from whole texts,
+    and the residual check."""
+    words = F.regexp_extract_all(F.col("text"), F.lit("[A-Za-z0-9_]+"), F.lit(0))
+    terms = (table(spark, sf_dir, "conversations").select(words.alias("w"))
+             .select(F.explode(F.transform(F.array(*map(F.lit, (1, 2, 3))), lambda n: F.array_join(F.slice("w", 1, n), " "))).alias("term"))
+             .filter(F.length("term") > 3).distinct())
+    clean = scrub_term_table(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", terms)
+    left = term_rows_left(clean, "text", terms).select("doc_id", F.lit(True).alias("left_over"))
+    return (clean.join(left, "doc_id", "left")
+            .select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars"),
+                    F.coalesce("left_over", F.lit(False)).alias("left_over")))
+
+
 _KEY = "CASE WHEN p_size % 5 = 0 THEN 'hcw_id.value' WHEN p_size % 5 = 1 THEN 'DRID' ELSE 'wardname' END"
 _TEXT = ("CASE WHEN p_size % 5 < 2 THEN CASE WHEN p_size % 3 = 0 THEN p_type WHEN p_size % 3 = 1 THEN concat(p_name, ' ', p_brand) "
          "ELSE concat('Roe', cast(p_partkey AS string)) END ELSE concat(p_type, ' for ', p_name) END")

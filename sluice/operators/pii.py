@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from sluice.functions.text import any_base, c, trim
 from sluice.operators.metrics import class_counts, fixed
 from sluice.plans.config import RunConfig
 from sluice.plans.dictionary import Dictionary
+from sluice.session import ship
 
 
 class PersonalDataFound(RuntimeError):
@@ -125,6 +128,129 @@ def assert_terms_gone(df: DataFrame, columns: Sequence[str], patterns: Sequence[
         raise PersonalDataFound(f"terms left after scrubbing: {found}")
 
 
+#: Words a term is found by: runs of ASCII word characters, and every other character beyond ASCII alone.
+TERM_WORD = "[A-Za-z0-9_]+|[^\\x00-\\x7F]"
+#: Leading words of a term that are looked up; the whole term is compared afterwards.
+LOOKED_UP = 4
+_BLANK = re.compile(rb"\s")
+_WORDS = re.compile(rb"[A-Za-z0-9_]+|[\xC2-\xF4][\x80-\xBF]*")
+_WORD_BYTES = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")
+
+
+def _term_words(text: Column) -> Column:
+    folded = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.regexp_extract_all(folded, F.lit(TERM_WORD), F.lit(0))
+
+
+def terms_met(df: DataFrame, column: str, terms: DataFrame) -> DataFrame:
+    """``df`` with ``_met``: the terms that may stand in the column's text.
+
+    ``terms`` has a column ``term`` of any number of rows.  Texts and terms meet in a join on the hash of a term's
+    first words, so work grows with the words of the texts and not with texts x terms; a text brings each run of words
+    once.  Texts are told apart by a hash, so rows need no id.  Equal hashes of different words or texts only add terms
+    that the comparison of whole terms rejects.  Null and empty texts, and texts without any term, have a null
+    ``_met``; terms that are null, blank or ASCII punctuation alone are no terms."""
+    listed = (terms.select(trim(F.col("term").cast("string")).alias("_term")).distinct()
+              .select("_term", _term_words(F.col("_term")).alias("_w")).filter(F.size("_w") > 0)
+              .select("_term", F.least(F.size("_w"), F.lit(LOOKED_UP)).alias("_n"), "_w")
+              .select("_term", "_n", F.xxhash64(F.slice("_w", 1, F.lit(LOOKED_UP))).alias("_key")))
+    sizes = sorted(r["_n"] for r in listed.select("_n").distinct().collect())  # at most LOOKED_UP rows
+    text = c(column)
+    if not sizes:
+        return df.withColumn("_met", F.lit(None).cast("array<string>"))
+
+    def runs(n: int) -> Column:
+        starts = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, F.lit(n))))
+
+    met = (df.filter(text.isNotNull()).select(F.xxhash64(text).alias("_text"), _term_words(text).alias("_w"))
+           .select("_text", F.explode(F.array_distinct(F.concat(*[runs(n) for n in sizes]))).alias("_key"))
+           .join(listed.select("_key", "_term"), "_key")
+           .groupBy("_text").agg(F.collect_set("_term").alias("_met")))
+    return (df.withColumn("_text", F.when(text.isNotNull(), F.xxhash64(text)))
+            .join(met, "_text", "left").drop("_text"))
+
+
+def _spans(text: bytes, terms: Sequence[bytes]) -> list[tuple[int, int]]:
+    """Places of whole terms from left to right, the longest at each place, none overlapping.  One pass over the words
+    of the text; at each word only terms that begin with it are compared."""
+    index: dict[bytes, list[tuple[int, bytes]]] = {}
+    for term in terms:
+        first = _WORDS.search(term)
+        index.setdefault(first[0], []).append((first.start(), term))
+    for listed in index.values():
+        listed.sort(key=lambda x: (-x[0], -len(x[1])))
+    out, done = [], 0
+    for word in _WORDS.finditer(text):
+        for lead, term in index.get(word[0], ()):
+            start = word.start() - lead
+            end = start + len(term)
+            if (start >= done and text.startswith(term, start) and not (start and text[start - 1] in _WORD_BYTES)
+                    and not (end < len(text) and text[end] in _WORD_BYTES)):
+                out.append((start, end))
+                done = end
+                break
+    return out
+
+
+def _rounds(text: bytes, met: Sequence[str]):
+    """Terms of several words match in any case of A-Z and go first, single words in their own case: yields each kind's
+    places and is sent the text for the next."""
+    terms = [t.encode("utf-8", "surrogatepass") for t in met]
+    several = {t.lower() for t in terms if _BLANK.search(t)}  # bytes fold A-Z only
+    text = yield _spans(text.lower(), several) if several else []
+    yield _spans(text, [t for t in terms if not _BLANK.search(t)])
+
+
+def _scrubbed(text: str, met: Sequence[str], placeholder: bytes) -> str:
+    data = text.encode("utf-8", "surrogatepass")
+    rounds = _rounds(data, met)
+    spans = next(rounds)
+    for last in (False, True):
+        parts, at = [], 0
+        for start, end in spans:
+            parts += [data[at:start], placeholder]
+            at = end
+        data = b"".join([*parts, data[at:]])
+        if not last:
+            spans = rounds.send(data)
+    return data.decode("utf-8", "surrogatepass")
+
+
+def _holds(text: str, met: Sequence[str]) -> bool:
+    data = text.encode("utf-8", "surrogatepass")
+    rounds = _rounds(data, met)
+    return bool(next(rounds) or rounds.send(data))
+
+
+def _with_met(df: DataFrame, column: str, fn, result: str) -> Column:
+    """``fn(text, met)`` in Arrow batches."""
+    ship(df.sparkSession)
+
+    @F.pandas_udf(result)
+    def run(texts: pd.Series, met: pd.Series) -> pd.Series:
+        return pd.Series([fn(t, m) for t, m in zip(texts, met)], dtype=object)
+
+    return run(c(column), F.col("_met"))
+
+
+def scrub_term_table(df: DataFrame, column: str, terms: DataFrame, placeholder: str = "[staff]") -> DataFrame:
+    """``scrub_terms`` for a table of terms of any size: at each place the longest term goes.  All other columns, rows
+    without a text and rows without a term stay as they are; an empty table or term list changes nothing.  A term that
+    only the placeholder itself holds is not looked for.  One that ends in punctuation may come to stand free when its
+    neighbour is replaced: ``term_rows_left`` reports such rows."""
+    out = terms_met(df, column, terms)
+    mark = placeholder.encode()
+    scrubbed = _with_met(df, column, lambda t, met: t if met is None else _scrubbed(t, met, mark), "string")
+    return out.withColumn(column, scrubbed).select(*[c(n) for n in df.columns])
+
+
+def term_rows_left(df: DataFrame, column: str, terms: DataFrame) -> DataFrame:
+    """Rows whose text still holds a term."""
+    out = terms_met(df, column, terms).filter("_met IS NOT NULL")
+    return out.filter(_with_met(df, column, _holds, "boolean")).select(*[c(n) for n in df.columns])
+
+
 def drop_staff_options(value_maps: DataFrame, key: str = "question_key") -> DataFrame:
     """Value-map rows without the options of staff fields."""
     return value_maps.filter(~is_staff_key_col(F.col(key)))
