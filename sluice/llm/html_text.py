@@ -1,11 +1,14 @@
 """Main text of web pages by removing site templates.
 
 Every element is hashed with its whole subtree (tag, class, id, texts and children), inside articles too; Spark
-counts for each host in how many different bodies a hash stands, and subtrees that recur in many of them are
-deleted on every page.  Copies of an article are one body, so its own text does not recur by being copied; copies that
-differ are different bodies, and a paragraph that many articles of a host repeat is deleted like a notice.  What marks
+counts for each host in how many different bodies a hash stands at one place, and subtrees that recur there in many of
+them are deleted at that place on every page.  A place is the tags above an element and its number among its parent's
+elements, counted from the first or from the last.  In an article or main element, paragraphs, headings, list
+items, cells and words without class or id are its own text: they stay even where they recur, and go only with a recurring
+container or row around them.  Copies of an article are one body, so its
+own text does not recur by being copied; copies that differ are different bodies.  What marks
 itself as a menu, header, footer, sidebar, notice, advert, form, comment or script, by its tag, role, class or id, goes
-as well.  Words that recur within a running text stay, and in articles a table's cells go with their row only.
+as well.
 
 A page whose articles have text left yields them, unless its main element has more text of its own than the
 longest article has: then, or without such an article, it yields the main element, and without text there
@@ -47,6 +50,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
 CELLS = frozenset(("td", "th"))
+#: Elements that hold others; without class or id, only these count as templates within an article or main element.
+CONTAINERS = BLOCK - CELLS - frozenset("blockquote br caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li option p pre summary".split())
 DROPPED = frozenset("head nav footer aside form script style noscript template iframe svg button select dialog menu object canvas textarea title xmp noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Words of a class or id that name what is not the article.
@@ -62,20 +67,23 @@ def _hash(data: bytes) -> int:
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "article", "main", "parts", "id")
+    __slots__ = ("tag", "dropped", "article", "main", "parts", "id", "path", "number", "children")
 
-    def __init__(self, tag, dropped, article, main, parts, id):
+    def __init__(self, tag, dropped, article, main, parts, id, path, number):
         self.tag, self.dropped, self.article, self.main, self.parts, self.id = tag, dropped, article, main, parts, id
+        self.path, self.number, self.children = path, number, []
 
 
 class Page:
     """One pass over the tags of a page.  ``blocks`` are (text, outermost article or 0, in a main element, elements that
-    hold its words); ``parents`` and ``hashes`` (of the subtree) are those of each element, of which 0 is the page."""
+    hold its words); ``parents`` and ``hashes`` (of the subtree at its place, counted from the first and from the last) are
+    those of each element, of which 0 is the page."""
 
     def __init__(self, source: str | None):
         self.blocks: list[tuple[str, int, bool, list[int]]] = []
         self.parents: list[int] = [0]
-        self.hashes: list[int | None] = [None]
+        self.hashes: list[tuple[int, ...]] = [()]
+        self.top: list[tuple[int, int, int, int]] = []  # elements without one above them
         self.text: list[str] = []
         self.holders: list[int] = []
         self.open: list[_Element] = []
@@ -104,6 +112,7 @@ class Page:
                     at = end.start() if end else len(source)
         while self.open:
             self._pop()
+        self._place(self.top)
         self._flush()
 
     def _text(self, text: str) -> None:
@@ -158,11 +167,14 @@ class Page:
         if above and above.dropped:
             dropped = True
         self.parents.append(above.id if above else 0)
-        self.hashes.append(None)
+        self.hashes.append(())
         if dropped != bool(above and above.dropped):
             self._flush()
         self.places.setdefault(tag, []).append(len(self.open))
-        self.open.append(_Element(tag, dropped, article, main, [tag, marks], number))
+        path = _hash(f"{above.path if above else 0}/{tag}".encode("utf-8", "surrogatepass"))
+        at = len(above.children if above else self.top)
+        (above.children if above else self.top).append((number, 0, 0, 0))
+        self.open.append(_Element(tag, dropped, article, main, [tag, marks], number, path, at))
 
     def _innermost(self, tags) -> int:
         """Place among the open elements of the innermost one of ``tags``, or -1."""
@@ -189,13 +201,23 @@ class Page:
             self._flush()
         self.open.pop()
         self.places[element.tag].pop()
+        marked = bool(element.parts[1])
         digest = _hash("\x1f".join(element.parts).encode("utf-8", "surrogatepass"))
-        if not (element.article and element.tag in CELLS):
-            self.hashes[element.id] = digest
+        self._place(element.children)
+        element.children = []
+        own_text = (element.article or element.main) and element.tag not in CONTAINERS and (element.tag in CELLS or not marked)
+        if not own_text:
+            (above.children if above else self.top)[element.number] = (element.id, digest, element.path, 1)
         if above:
             above.parts.append(str(digest))
         return element.tag
 
+    def _place(self, children) -> None:
+        """Hashes of the elements of one parent, whose number is known now."""
+        for i, (number, digest, path, hashed) in enumerate(children):
+            if hashed:
+                self.hashes[number] = (_hash(struct.pack("<qqi", digest, path, i)), _hash(struct.pack("<qqi", digest, path, i - len(children))))
+
     def body(self) -> int:
         """Hash of the text before any deletion for recurring."""
         return _hash(self.main_text().encode("utf-8", "surrogatepass"))
@@ -203,7 +225,7 @@ class Page:
     def main_text(self, recurring=frozenset()) -> str:
         gone = [False]
         for parent, own in zip(self.parents[1:], self.hashes[1:]):
-            gone.append(gone[parent] or own in recurring)
+            gone.append(gone[parent] or not recurring.isdisjoint(own))
         kept = [block for block in self.blocks if not all(gone[i] for i in block[3])]
         articles: dict[int, int] = {}
         own = 0
@@ -225,8 +247,8 @@ def host(url):
 
 
 def recurring(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """(host, hashes): subtrees that stand in at least ``min_pages`` different bodies of the host and in ``min_share`` of
-    them.  A page has few elements, so a host has at most that many divided by the share."""
+    """(host, hashes): subtrees that stand at one place in at least ``min_pages`` different bodies of the host and in
+    ``min_share`` of them.  A page has few elements, so a host has at most that many divided by the share."""
     ship(pages.sparkSession)
     scratch = Scratch(pages.sparkSession, "html-text")
     rows = pages.select(host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).where("host IS NOT NULL")
@@ -237,7 +259,7 @@ def recurring(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> D
             for site, source in zip(batch["host"], batch["html"]):
                 page = Page(source.as_py())
                 # The null hash stands on every page, and counts the bodies of the host.
-                own = {None, *page.hashes}
+                own = {None, *(h for place in page.hashes for h in place)}
                 hosts += [site.as_py()] * len(own)
                 hashes += own
                 bodies += [page.body()] * len(own)

@@ -214,6 +214,26 @@ def test_html_recurring_in_articles(spark):
     assert got[18] == "text\nWrite to us, dear reader.\nPrint" and got[19] == "Write to us, dear reader.\nPrint"
 
 
+def test_html_recurring_needs_its_place(spark):
+    same, note = "<p>The same <b>paragraph</b>.</p>", "<p class='x'>Write to us.</p>"
+    pages = []
+    for i in range(12):
+        own = [f"<p>own {i} {j}</p>" for j in range(8)]
+        if i < 6:
+            own.insert(i, same)
+        own.insert(2, "<div>advert</div>")
+        pages.append((i, f"http://site.org/{i}", f"<body class='p{i}'><article id='a{i}'><h1>T{i}</h1>{note}{''.join(own[:8 - i % 3])}{note}</article></body>", i % 2))
+    pages += [(12, "http://site.org/0", pages[0][2], 0), (None, "http://site.org/x", f"<article>{same}</article>", 0)]
+    pages += [(20 + i, f"http://last.org/{i}", f"<main><p>own {i}</p><div>box {i}</div>{same}<ul><li>Share</li></ul></main>", 0) for i in range(9)]
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string, host int").selectExpr("*", "'x' AS text", "1 AS hashes", "2 AS n_chars")
+    got = {r.page_id: r.text for r in html_text.extract(rows).collect()}
+    for i in range(12):
+        assert "Write to us." not in got[i] and "advert" not in got[i] and got[i].startswith(f"T{i}\n")
+        assert ("The same paragraph." in got[i]) == (same in pages[i][2]) and got[i].count("own") == pages[i][2].count("own")
+    assert got[12] == got[0] and got[None] == "The same paragraph."
+    assert all(got[20 + i] == f"own {i}\nbox {i}\nThe same paragraph." for i in range(9))
+
+
 @pytest.mark.parametrize("source,text", [
     ("<body><!-- <article> --><p>a</p></body>", "a"),
     ("<body><script>x = '<article>'</script><p>a</p></body>", "a"),
