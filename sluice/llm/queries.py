@@ -101,17 +101,18 @@ def _licence_sql() -> str:
     columns, covered = [], []
     for t in licences.TEMPLATES:
         key, notice = t.key.split(), t.notice.split()
-        name = t.label.replace("-", "_")
+        name = t.name
         columns.append(f"CASE WHEN contains(joined, ' {t.key} ') THEN list_filter(range(0, len(words) - {len(key) - 1}), lambda p: words[p + 1 : p + {len(key)}] = {strings(key)}) ELSE []::BIGINT[] END AS {name}")
         shares = " + ".join(f"CASE WHEN p + {j - t.at} >= 0 AND words[p + {j - t.at + 1}] = '{w}' THEN 1 ELSE 0 END" for j, w in enumerate(notice))
         covered.append(f"list_max(list_transform({name}, lambda p: ({shares}) / {len(notice)}.0::DOUBLE))")
 
     def labels(which) -> str:
         return "array_to_string(list_filter([" + ", ".join(
-            f"CASE WHEN len({t.label.replace('-', '_')}) > 0 THEN '{t.label}' END" for t in sorted(which, key=lambda t: t.label)) + "], lambda x: x IS NOT NULL), ',')"
+            f"CASE WHEN {' OR '.join(f'len({t.name}) > 0' for t in which if t.label == label)} THEN '{label}' END"
+            for label in sorted({t.label for t in which})) + "], lambda x: x IS NOT NULL), ',')"
 
     base = [t for t in licences.TEMPLATES if t.base]
-    joined = " || ".join(t.label.replace("-", "_") for t in base)
+    joined = " || ".join(t.name for t in base)
     return f"""WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
 j AS (SELECT *, ' ' || array_to_string(words, ' ') || ' ' AS joined FROM w),

@@ -328,6 +328,17 @@ def test_licences(spark):
     assert licences.scan(empty(spark)).isEmpty()
 
 
+def test_licences_worded_in_several_ways(spark):
+    texts = ["you can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License",
+             "// SPDX-License-Identifier: MIT", "SPDX-License-Identifier: GPL-2.0-only OR Apache-2.0", "GNU General Public License, version 2, as published by the Free Software Foundation",
+             "GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1", "gnu general public license as published by the moon, version 3",
+             "SPDX-License-Identifier: MIT. Released under the MIT License; " * 2]
+    rows = {r.doc_id: r for r in licences.scan(documents(spark, [*texts, texts[1]])).collect()}
+    assert [rows[i].labels for i in range(8)] == ["gpl-3", "mit", "gpl-2", "gpl-2", "lgpl", "", "mit", "mit"]
+    assert [rows[i].base_labels for i in range(8)] == ["", "", "", "", "", "", "mit", ""] and rows[6].n_base == 2 and rows[6].first_word == 5
+    assert rows[0].score == 1.0 and rows[3].score == 13 / 18 and len({t.name for t in licences.TEMPLATES}) == len(licences.TEMPLATES)
+
+
 def test_line_dedup(spark):
     line = " ".join(f"w{i}" for i in range(14))
     texts = [f"{line}\nshort\n\n", f"{line} more\nshort\n\nother", line.replace("w3 ", "x "), line.replace("w3 ", "x ").replace("w9", "y"),
