@@ -132,6 +132,8 @@ def assert_terms_gone(df: DataFrame, columns: Sequence[str], patterns: Sequence[
 TERM_WORD = "[A-Za-z0-9_]+|[^\\x00-\\x7F]"
 #: Leading words of a term that are looked up; the whole term is compared afterwards.
 LOOKED_UP = 4
+#: A term table up to this size, which is measured, is sent to every executor; a larger one meets the texts in a shuffle.
+BROADCAST_BYTES = 16 << 20
 _BLANK = re.compile(rb"\s")
 _WORDS = re.compile(rb"[A-Za-z0-9_]+|[\xC2-\xF4][\x80-\xBF]*")
 _WORD_BYTES = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")
@@ -154,7 +156,9 @@ def terms_met(df: DataFrame, column: str, terms: DataFrame) -> DataFrame:
               .select("_term", _term_words(F.col("_term")).alias("_w")).filter(F.size("_w") > 0)
               .select("_term", F.least(F.size("_w"), F.lit(LOOKED_UP)).alias("_n"), "_w")
               .select("_term", "_n", F.xxhash64(F.slice("_w", 1, F.lit(LOOKED_UP))).alias("_key")))
-    sizes = sorted(r["_n"] for r in listed.select("_n").distinct().collect())  # at most LOOKED_UP rows
+    by_size = listed.groupBy("_n").agg(F.sum(F.octet_length("_term") + 16).alias("bytes")).collect()  # at most LOOKED_UP rows
+    sizes = sorted(r["_n"] for r in by_size)
+    small = sum(r["bytes"] for r in by_size) <= BROADCAST_BYTES
     text = c(column)
     if not sizes:
         return df.withColumn("_met", F.lit(None).cast("array<string>"))
@@ -163,9 +167,10 @@ def terms_met(df: DataFrame, column: str, terms: DataFrame) -> DataFrame:
         starts = F.when(F.size("_w") >= n, F.sequence(F.lit(1), F.size("_w") - (n - 1))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, F.lit(n))))
 
+    looked_up = listed.select("_key", "_term")
     met = (df.filter(text.isNotNull()).select(F.xxhash64(text).alias("_text"), _term_words(text).alias("_w"))
            .select("_text", F.explode(F.array_distinct(F.concat(*[runs(n) for n in sizes]))).alias("_key"))
-           .join(listed.select("_key", "_term"), "_key")
+           .join(F.broadcast(looked_up) if small else looked_up, "_key")
            .groupBy("_text").agg(F.collect_set("_term").alias("_met")))
     return (df.withColumn("_text", F.when(text.isNotNull(), F.xxhash64(text)))
             .join(met, "_text", "left").drop("_text"))
