@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from sluice.catalogue import query
 from sluice.catalogue.views import table, view
 from sluice.functions.pii import is_staff_key_col, redact, value_pattern
-from sluice.operators.pii import (pattern_hits, scrub_term_table, scrub_terms, staff_terms, term_patterns, term_rows_left,
-                                  terms_left)
-from sluice.session import bounded_rows
+from sluice.operators.pii import (TermTable, pattern_hits, scrub_term_table, scrub_terms, staff_terms, term_patterns,
+                                  terms_left, with_terms_left)
+from sluice.session import bounded_rows, cut_lineage
 
 
 def hit_sql(column: str) -> str:
@@ -119,11 +119,12 @@ def scrub_term_table_query(spark, sf_dir):
     terms = (table(spark, sf_dir, "conversations").select(words.alias("w"))
              .select(F.explode(F.transform(F.array(*map(F.lit, (1, 2, 3))), lambda n: F.array_join(F.slice("w", 1, n), " "))).alias("term"))
              .filter(F.length("term") > 3).distinct())
+    terms = TermTable(terms)
     clean = scrub_term_table(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", terms)
-    left = term_rows_left(clean, "text", terms).select("doc_id", F.lit(True).alias("left_over"))
-    return (clean.join(left, "doc_id", "left")
-            .select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars"),
-                    F.coalesce("left_over", F.lit(False)).alias("left_over")))
+    if terms.far_sizes:  # the residual check reads the texts twice
+        clean = cut_lineage(clean)
+    return (with_terms_left(clean, "text", terms, "left_over")
+            .select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars"), "left_over"))
 
 
 _KEY = "CASE WHEN p_size % 5 = 0 THEN 'hcw_id.value' WHEN p_size % 5 = 1 THEN 'DRID' ELSE 'wardname' END"

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import dictionary_build as build
+from sluice.operators import pii
 from sluice.operators.dictionary_checks import REQUIRED, assert_dictionary, check_dictionary, missing_columns
 from sluice.operators.pii import (PersonalDataFound, assert_terms_gone, scrub_term_table, scrub_terms, term_patterns,
                                   term_rows_left, terms_left)
@@ -197,3 +198,29 @@ def test_many_terms(spark):
     df = spark.range(2_000).selectExpr("id", "concat('seen by name', id * 50, ' OF ', (id * 50) % 7, ', not by Name', id, ' of 9') AS t")
     got = {r["id"]: r["t"] for r in scrub_term_table(df, "t", listed).collect()}
     assert all(t == f"seen by [staff], not by Name{i} of 9" for i, t in got.items()) and len(got) == 2_000
+
+
+@pytest.mark.parametrize("room", [1 << 24, 900, 0])
+def test_term_table_near_and_far(spark, monkeypatch, room):
+    """The same texts whether all, some or no terms are sent to every task; small tables shuffle no words of a text."""
+    monkeypatch.setattr(pii, "BROADCAST_BYTES", room)
+    draw = random.Random(5)
+    words = ["Ada", "ada", "Roe", "van", "x_1", "a.b", "(Li)", "李", "it", "C++", "staff"]
+    terms = sorted({" ".join(draw.choices(words, k=draw.choice((1, 1, 2, 3, 4, 6)))) for _ in range(50)} | {"staff", "ada roe", "x van"})
+    texts = [" ".join(draw.choices([*words, ",", "-", "VAN", "Staff"], k=draw.randrange(25))) for _ in range(200)] + [None, "", "ada van"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").repartition(3)
+    listed = pii.TermTable(spark.createDataFrame([(t,) for t in terms], "term string"))
+    assert bool(listed.far_sizes) == (room < 1 << 24) and (listed.near is None) == (room == 0)
+    patterns = term_patterns(terms)
+    # "staff" is looked for only where the text itself holds it, not where the placeholder alone does.
+    out = scrub_term_table(df, "t", listed)
+    want = {r["id"]: (r["t"], r["n"]) for r in df.select("id", *[
+        F.when(F.col("t").rlike(r"(?i)(?<![A-Za-z0-9_])staff(?![A-Za-z0-9_])"), scrub_terms(F.col("t"), patterns))
+        .otherwise(scrub_terms(F.col("t"), term_patterns([x for x in terms if x != "staff"]))).alias("t"),
+        F.coalesce(terms_left(F.col("t"), patterns), F.lit(False)).alias("n")]).collect()}
+    got = {r["id"]: (r["t"], r["n"]) for r in pii.with_terms_left(df, "t", listed, "n").withColumnRenamed("t", "raw")
+           .join(out, "id").select("id", "t", "n").collect()}
+    assert got == want and sum(n for _, n in got.values()) > 50
+    if room == 1 << 24:
+        plan = scrub_term_table(df.filter("id >= 0"), "t", listed)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "Join" not in plan
