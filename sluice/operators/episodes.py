@@ -160,7 +160,7 @@ def collapse_records(frame: DataFrame, clock: str = "admission",
     if not seg.filter(F.col("seg_n") > chunk_rows).isEmpty():
         clusters = clusters.unionByName(folds.fold_chunks(
             multi.filter(F.col("seg_n") > chunk_rows), keys, order, CollapseFold, schema))
-    rows = (rows.join(clusters, "fid", "left")
+    rows = (rows.join(clusters.filter("cluster <> fid"), "fid", "left")
             .withColumn("cluster", F.coalesce("cluster", "fid")))
 
     p, q = CLOCKS[clock]
@@ -183,8 +183,12 @@ def collapse_records(frame: DataFrame, clock: str = "admission",
             .drop("rank", "cluster", "no_id"))
 
 
+def _dated(records: DataFrame) -> DataFrame:
+    return records.filter("uid IS NOT NULL").withColumn("t_event", F.coalesce("t_adm", "t_start"))
+
+
 def _with_counts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records with the number of records under their uid, those numbers)."""
+    """(dated records with the number of records under their uid, those numbers); only what a fold reads of it is shuffled."""
     sizes = records.groupBy("uid").agg(F.count(F.lit(1)).alias("u_n"))
     return records.join(sizes, "uid"), sizes
 
@@ -196,26 +200,28 @@ def _event_order() -> list[Column]:
 
 def assign_entities(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> DataFrame:
     """Entity letter, stay number and basis for admission records."""
-    a, sizes = _with_counts(records.withColumn("t_event", F.coalesce("t_adm", "t_start")))
+    dated = _dated(records)
+    a, sizes = _with_counts(dated)
     several = (a.filter("u_n > 1").withColumn("seed", F.lit(False))
                .withColumn("letter_k", F.lit(None).cast("bigint"))
                .withColumn("stay", F.lit(None).cast("bigint")))
     placed = folds.ordered_fold(
         several, ["uid"], F.col("t_event") / MINUTE, _event_order(), EntityFold,
         "rec bigint, letter_k bigint, stay bigint, basis string, joined boolean", chunk_rows, sizes)
-    out = a.join(placed.drop("joined"), "rec", "left").na.fill({"letter_k": 1, "stay": 1})
+    out = dated.join(placed.drop("joined"), "rec", "left").na.fill({"letter_k": 1, "stay": 1})
     return (out.withColumn("basis", F.coalesce("basis", F.lit("only record under this UID")))
-            .withColumn("baby_id", _entity_id("letter_k")).drop("u_n"))
+            .withColumn("baby_id", _entity_id("letter_k")))
 
 
 def assign_births(records: DataFrame, chunk_rows: int = folds.CHUNK_ROWS) -> DataFrame:
     """Every birth record is an entity of its own, lettered in date order."""
-    r, sizes = _with_counts(records.withColumn("t_event", F.coalesce("t_adm", "t_start")))
+    dated = _dated(records)
+    r, sizes = _with_counts(dated)
     placed = folds.ordered_fold(r.filter("u_n > 1"), ["uid"], F.col("t_event") / MINUTE, _event_order(),
                                 BirthFold, "rec bigint, letter_k bigint, basis string", chunk_rows, sizes)
-    out = r.join(placed, "rec", "left").na.fill({"letter_k": 1})
+    out = dated.join(placed, "rec", "left").na.fill({"letter_k": 1})
     return (out.withColumn("basis", F.coalesce("basis", F.lit("only record under this UID")))
-            .withColumn("baby_id", _entity_id("letter_k")).drop("u_n"))
+            .withColumn("baby_id", _entity_id("letter_k")))
 
 
 def _entity_id(k: str) -> Column:

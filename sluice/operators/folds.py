@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Callable, Iterator, Sequence
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -24,11 +25,12 @@ CHUNK_ROWS = 100_000
 HOUR = 3_600_000_000  # microseconds
 WEIGHT_TOLERANCE = 100
 WEEKS_TOLERANCE = 1
+_SEVERAL = [x.bit_count() >= 2 for x in range(8)]
 
 
-def _clean(v):
-    """Plain value or None (Arrow hands nulls over as NaN or None)."""
-    return None if v is None or v != v else v
+def _clean(values: pd.Series) -> list:
+    """Plain values or None (Arrow hands nulls over as NaN or None)."""
+    return values.tolist() if values.dtype.kind in "ib" else [None if v != v else v for v in values.tolist()]
 
 
 def _differs(a, b, tolerance=None) -> bool:
@@ -82,7 +84,8 @@ class CollapseFold:
             places += [("p", p // HOUR + i) for i in (-1, 0, 1)]
         if q is not None:
             places += [("q only" if p is not None else "q", q // HOUR + i) for i in (-1, 0, 1)]
-        return sorted(set().union(*[self.near.get(k, ()) for k in places]))
+        near = [self.near[k] for k in places if k in self.near]
+        return sorted(near[0].union(*near[1:])) if near else []
 
     @staticmethod
     def compatible(a, b) -> bool:
@@ -188,15 +191,18 @@ class EntityFold:
 
     def _candidates(self, r) -> list[tuple]:
         """Kinds whose identity may agree with the record's, as (earliest entity, kind) by that entity."""
-        found = []
+        sex, bw, ga = r[3:6]
+        kinds, kind_of, found = self.kinds, self.kind_of, []
         for sexes, weights in self.sexes.items():
-            if r["sex"] is not None and any(s != r["sex"] for s in sexes):
+            if sex is not None and sexes and (len(sexes) > 1 or sexes[0] != sex):
                 continue
-            for bw in self._near(weights, r["bw"], WEIGHT_TOLERANCE):
-                weeks = weights[bw]
-                for ga in self._near(weeks, r["ga"], WEEKS_TOLERANCE):
-                    found += [(self._first(kind), kind) for kind in weeks[ga]]
-        return sorted(found, key=lambda x: x[0])
+            for weeks in [weights[x] for x in self._near(weights, bw, WEIGHT_TOLERANCE)]:
+                for x in self._near(weeks, ga, WEEKS_TOLERANCE):
+                    for kind in weeks[x]:
+                        first = kinds[kind][0]
+                        found.append((first if kind_of.get(first) is kind else self._first(kind), kind))
+        found.sort(key=itemgetter(0))
+        return found
 
     def _first(self, kind: tuple) -> int:
         heap = self.kinds[kind]
@@ -205,69 +211,67 @@ class EntityFold:
         return heap[0]
 
     @staticmethod
-    def _identity_mask(r) -> int:
-        return sum(1 << i for i, f in enumerate(("sex", "bw", "ga")) if r[f] is not None)
+    def _masks(row) -> tuple[int, int]:
+        """Which identity fields and which other fields the record has."""
+        _, _, _, sex, bw, ga, _, apgar5, mode, birthf, matage, *_ = row
+        return ((sex is not None) + 2 * (bw is not None) + 4 * (ga is not None),
+                (apgar5 is not None) + 2 * (mode is not None) + 4 * (birthf is not None) + 8 * (matage is not None))
 
     @staticmethod
-    def _other_mask(r) -> int:
-        return sum(1 << i for i, f in enumerate(("apgar5", "mode", "birthf", "matage"))
-                   if r[f] is not None)
-
-    @staticmethod
-    def _out_of(span, x, tolerance) -> bool:
-        return x is not None and span is not None and (
-            x - span[0] > tolerance or span[1] - x > tolerance)
-
-    def _relation(self, r, e) -> str:
-        sexes, bw, ga, masks, apgar, modes, births, age, other, sites = e
-        if ((r["sex"] is not None and any(s != r["sex"] for s in sexes))
-                or self._out_of(bw, r["bw"], WEIGHT_TOLERANCE)
-                or self._out_of(ga, r["ga"], WEEKS_TOLERANCE)):
+    def _relation(r, e) -> str:
+        """How a record (its columns and masks) stands to a kind of entity."""
+        _, _, facility, sex, bw, ga, readm, apgar5, mode, birthf, matage, _, _, mine, others = r
+        sexes, bws, gas, masks, apgars, modes, births, ages, other, sites = e
+        if (sex is not None and sexes and (len(sexes) > 1 or sexes[0] != sex)
+                or bw is not None and bws is not None and (bw - bws[0] > WEIGHT_TOLERANCE or bws[1] - bw > WEIGHT_TOLERANCE)
+                or ga is not None and gas is not None and (ga - gas[0] > WEEKS_TOLERANCE or gas[1] - ga > WEEKS_TOLERANCE)):
             return "different: identity differs"
-        if r["readm"]:
+        if readm:
             return "same: flagged readmission"
-        mine = self._identity_mask(r)
-        if r["facility"] not in sites and any((m & mine).bit_count() >= 2 for m in masks):
+        if facility not in sites and any([_SEVERAL[m & mine] for m in masks]):
             return "same: same UID at another site"
-        if (self._out_of(apgar, r["apgar5"], 0) or self._out_of(age, r["matage"], 1)
-                or (r["mode"] is not None and any(m != r["mode"] for m in modes))
-                or (r["birthf"] is not None and any(b != r["birthf"] for b in births))):
+        if (apgar5 is not None and apgars is not None and (apgar5 > apgars[0] or apgars[1] > apgar5)
+                or matage is not None and ages is not None and (matage - ages[0] > 1 or ages[1] - matage > 1)
+                or mode is not None and modes and (len(modes) > 1 or modes[0] != mode)
+                or birthf is not None and births and (len(births) > 1 or births[0] != birthf)):
             return "different: other fields differ"
-        if other & self._other_mask(r):
-            return "same: other fields agree"
-        return "unresolved"
+        return "same: other fields agree" if other & others else "unresolved"
 
-    def _add(self, k: int, r, stay: int) -> None:
+    def _add(self, k: int, row, stay: int) -> None:
         def add(values, x):
             return values if x is None or x in values else tuple(sorted((*values, x)))
 
         def widen(span, x):
-            return span if x is None else (x, x) if span is None else (min(span[0], x), max(span[1], x))
+            return (span if x is None or span is not None and span[0] <= x <= span[1]
+                    else (x, x) if span is None else (min(span[0], x), max(span[1], x)))
 
+        _, _, facility, sex, bw, ga, _, apgar5, mode, birthf, matage, _, _ = row
+        mine, others = self._masks(row)
         kind = self.kind_of.get(k)
-        if kind is None:
-            kind = ((), None, None, (), None, (), (), None, 0, ())
-        else:
+        sexes, bws, gas, masks, apgars, modes, births, ages, other, sites = kind or ((), None, None, (), None, (), (), None, 0, ())
+        new = (add(sexes, sex), widen(bws, bw), widen(gas, ga), add(masks, mine), widen(apgars, apgar5), add(modes, mode),
+               add(births, birthf), widen(ages, matage), other | others, add(sites, facility))
+        if new == kind:
+            self.stays[k] = max(self.stays[k], stay)
+            return
+        if kind is not None:
             self._drop(k)
-        sexes, bw, ga, masks, apgar, modes, births, age, other, sites = kind
-        self._put(k, max(self.stays.get(k, 0), stay), (
-            add(sexes, r["sex"]), widen(bw, r["bw"]), widen(ga, r["ga"]), add(masks, self._identity_mask(r)),
-            widen(apgar, r["apgar5"]), add(modes, r["mode"]), add(births, r["birthf"]),
-            widen(age, r["matage"]), other | self._other_mask(r), add(sites, r["facility"])))
+        self._put(k, max(self.stays.get(k, 0), stay), new)
 
     def step(self, row):
-        r = dict(zip(self.columns, row))
-        if r["seed"]:
-            self._add(int(r["letter_k"]), r, int(r["stay"]))
+        rec, seed, letter_k, stay = row[0], row[1], row[11], row[12]
+        if seed:
+            self._add(int(letter_k), row, int(stay))
             return None
         if not self.stays:
             k, basis, joined = 1, "first record under this UID", False
         else:
+            r = (*row, *self._masks(row))
             same: tuple[int, str] | None = None
             unresolved = other_differs = False
             for first, kind in self._candidates(r):
                 rel = self._relation(r, kind)
-                if rel.startswith("same"):
+                if rel[0] == "s":
                     same = (first, rel)
                     break
                 unresolved |= rel == "unresolved"
@@ -280,8 +284,8 @@ class EntityFold:
                          else "different baby: other fields differ" if other_differs
                          else "different baby: identity differs")
         stay = self.stays[k] + 1 if joined else 1
-        self._add(k, r, stay)
-        return r["rec"], k, stay, basis, joined
+        self._add(k, row, stay)
+        return rec, k, stay, basis, joined
 
 
 class BirthFold:
@@ -339,16 +343,16 @@ def _walk(fold: type, keys: Sequence[str], chunked: bool) -> Callable:
         for batch in batches:
             rows = []
             key_cols = list(zip(*[batch[k].tolist() for k in group]))
-            states = batch["_state"].tolist() if chunked else None
-            for i, values in enumerate(zip(*[batch[n].tolist() for n in fold.columns])):
+            states = _clean(batch["_state"]) if chunked else None
+            for i, values in enumerate(zip(*[_clean(batch[n]) for n in fold.columns])):
                 if key_cols[i] != current:
                     if chunked and current is not None:
                         rows.append(end_state())
                     current, machine = key_cols[i], fold()
-                if chunked and _clean(states[i]) is not None:
+                if chunked and states[i] is not None:
                     machine = fold(json.loads(states[i]))
                     continue
-                got = machine.step([_clean(v) for v in values])
+                got = machine.step(values)
                 if got is not None:
                     rows.append((*got, *current, None) if chunked else got)
             columns = [*fold.out, *group, "_state"] if chunked else list(fold.out)

@@ -325,3 +325,21 @@ def test_only_changed_chunks_run_again(spark, monkeypatch):
     got = sorted((r.rec, r.letter_k) for r in out.collect())
     assert got == sorted((i, i + 1) for u in range(2) for i in range(120))
     assert fed[0] == 12 and fed == sorted(fed, reverse=True) and fed[-1] < fed[0]
+
+
+def test_unchanged_summary_stays_in_place():
+    """A record that adds nothing to its entity's summary leaves the index as it is."""
+    from sluice.operators.folds import EntityFold
+
+    put = []
+
+    class Counting(EntityFold):
+        def _put(self, *x):
+            put.append(x)
+            super()._put(*x)
+
+    fold = Counting()
+    got = [fold.step((i, False, "H1", "M", 2000.0, 38.0, False, 8.0, "SVD", None, None, None, None)) for i in range(50)]
+    assert [(r[1], r[2]) for r in got] == [(1, i + 1) for i in range(50)] and len(put) == 1
+    assert fold.state()["entities"][0][:2] == [1, 50] and EntityFold(fold.state()).step(
+        (50, False, "H1", "M", 2000.0, 38.0, False, 8.0, "SVD", None, None, None, None))[1:3] == (1, 51)
