@@ -481,8 +481,10 @@ def episode_summary(before: DataFrame, after: DataFrame) -> DataFrame:
     """Counts report of one linkage run: totals, bases and flags.
 
     Distinct ids, entities and stays come from one chain of groupings, each
-    working on the result of the one before."""
+    working on the result of the one before.  The few columns that are counted
+    are stored first, since every report reads them."""
     stay = ["stay_no"] if "stay_no" in after.columns else []
+    after = cut_lineage(after.select(*KEY, "uniquekey", "baby_id", *stay, "dedup_basis", "dedup_flag"))
     stays = after.groupBy("uid", "baby_id", *stay).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("dedup_flag").contains("no_uid")).alias("no_uid"),
         F.count_if(F.col("dedup_flag") != "none").alias("flagged"))
